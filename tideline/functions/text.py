@@ -7,6 +7,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.time import col
 
@@ -23,7 +24,7 @@ HOT_BUCKETS = {
 
 # Fixed value: the characters a valid comment may hold.
 VALID_TEXT = (
-    "^[一-龥a-zA-Z0-9\\[\\]\\-_+{}:：“<>`?!——+·~@#$%^&*(、，。；‘【】！@#￥%……&*（）)\"]+$"
+    "^[一-龥a-zA-Z0-9\\[\\]\\-_+{}:：“<>`?!——+·~@#$%^&*(、，。；‘【】！@#￥%……&*（）)\"]+\\z"
 )
 
 WORD = r"[\p{L}\p{N}]+"
@@ -51,7 +52,7 @@ def row_key(fields: Iterable[str | tuple[str, bool]], separator: str = "", whole
     return F.md5(key) if whole_md5 else key
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _wide_hex(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else str(int(v, 16)))
 

@@ -1,0 +1,6 @@
+"""Registered queries over the given tables."""
+
+from tideline.plans import trade  # noqa: F401
+from tideline.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

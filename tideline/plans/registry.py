@@ -1,0 +1,24 @@
+"""Registered queries: name -> Spark plan, and the SQL that states the same result."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return fn
+
+    return register
