@@ -89,16 +89,16 @@ def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT doc_id AS id, o_orderkey AS order_id, o_orderkey AS info_id, o_custkey AS info_user_id, o_orderstatus AS info_order_status,
       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS info_total_amount
-    FROM documents JOIN orders ON doc_id % 500 = o_orderkey AND abs((doc_id % 240 - o_orderkey % 240)) * 30 <= 60
+    FROM documents JOIN orders ON doc_id * 7 = o_orderkey WHERE abs(doc_id % 9 - 4) * 30 <= 60
     """,
 )
 def comment_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comment and order at most a minute apart; times are half-minutes derived from the keys."""
-    half_minutes = lambda c: F.timestamp_seconds((F.col(c) % 240) * 30 + 1_704_067_200)
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 500).alias("order_id"))
-    comments = docs.withColumn("comment_ts", half_minutes("id"))
+    """Comment and order at most a minute apart; a comment is up to two minutes from its order."""
+    half_minutes = lambda number, shift: F.timestamp_seconds((number % 240 + shift) * 30 + 1_704_067_200)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") * 7).alias("order_id"))
+    comments = docs.withColumn("comment_ts", half_minutes(F.col("order_id"), F.col("id") % 9 - 4))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("order_status"),
         money("o_totalprice").cast("double").alias("total_amount"),
-    ).withColumn("order_ts", half_minutes("id"))
+    ).withColumn("order_ts", half_minutes(F.col("id"), F.lit(0)))
     return moderation.comments_with_orders(comments, orders, "comment_ts", "order_ts").drop("comment_ts")
