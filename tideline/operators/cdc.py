@@ -12,12 +12,14 @@ SNAPSHOT = ("r",)
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: list[str] = ()) -> DataFrame:
-    """S3: typed columns of a JSON text column; unreadable text is kept in ``_corrupt_record``."""
+    """S3: typed columns of a JSON text column; unreadable text is kept in ``_corrupt_record``.
+
+    The parsed row is unpacked by a generator: filters on its columns stay above it, so each text is parsed
+    once however many of its fields are tested.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = df.filter(F.col(value).isNotNull()).select(
-        *keep, F.from_json(value, full, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}).alias("_m")
-    )
-    return parsed.select(*keep, "_m.*")
+    parsed = F.from_json(value, full, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    return df.filter(F.col(value).isNotNull()).select(*keep, F.inline(F.array(parsed)))
 
 
 def parse_cdc(df: DataFrame, value: str = "value", keep: list[str] = ()) -> DataFrame:

@@ -47,7 +47,10 @@ def skew_join(
         values = [c for c in right.columns if c not in on]
     else:
         values = [c for c in right.columns if c not in on and c != weight]
-        packed = right.select(*on, weight, F.struct(*[F.col(c) for c in (values or on)]).alias("_side"))
+        # Both uses below read the same columns of the same rows, so the aggregate behind them runs once.
+        packed = right.dropna(subset=on).select(
+            *on, weight, F.struct(*[F.col(c) for c in right.columns]).alias("_side")
+        )
         hot = packed.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
     hot = hot.select(*on, F.col("_side").alias("_hot"))
     columns = left.columns

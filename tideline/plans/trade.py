@@ -116,7 +116,7 @@ def order_detail_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", line_id().alias("id"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     order = [*LINE_VERSION, "file", "row"]
-    signed = retract_versions(lines, "id", order, ["l_quantity", "l_extendedprice"], "sign")
+    signed = retract_versions(lines, "id", order, ["l_quantity", "l_extendedprice"], "sign", ["file", "row"])
     return signed.select(
         "id", F.col("l_partkey").alias("sku_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("amount"),
