@@ -18,7 +18,7 @@ def col(c: Column | str) -> Column:
 
 
 def from_millis(ms: Column | str) -> Column:
-    return F.timestamp_millis(col(ms).cast("bigint"))
+    return F.timestamp_millis(col(ms).try_cast("bigint"))
 
 
 def to_millis(ts: Column | str) -> Column:
@@ -38,7 +38,7 @@ def text_millis(text: Column | str, pattern: str = DATE_TIME) -> Column:
 def tolerant_timestamp(value: Column | str) -> Column:
     """Epoch milliseconds or date text as a timestamp (Q12); values below 10^10 are seconds."""
     text = F.trim(col(value).cast("string"))
-    number = F.when(text.rlike("^-?[0-9]+$"), text.cast("bigint"))
+    number = F.when(text.rlike("^-?[0-9]+$"), text.try_cast("bigint"))
     millis = F.when(F.abs(number) < 10_000_000_000, number * 1000).otherwise(number)
     return F.coalesce(F.timestamp_millis(millis), F.try_to_timestamp(text))
 
@@ -71,7 +71,7 @@ def decade(birthday: Column | str) -> Column:
 
 def epoch_day(days: Column | str) -> Column:
     """day number of the change event as a date."""
-    return F.date_from_unix_date(col(days).cast("int"))
+    return F.date_from_unix_date(col(days).try_cast("int"))
 
 
 def day_partitions(first: Column | str, last: Column | str) -> Column:
@@ -95,5 +95,5 @@ def window_bounds(window: Column | str = "window") -> list[Column]:
 
 def event_time(df: DataFrame, fields: list[str], seconds: bool = True, name: str = "event_time") -> DataFrame:
     """The first present field, seconds or milliseconds, as the event time column."""
-    value = F.coalesce(*[F.col(f).cast("bigint") for f in fields])
+    value = F.coalesce(*[F.col(f).try_cast("bigint") for f in fields])
     return df.withColumn(name, F.timestamp_millis(value * 1000 if seconds else value))

@@ -45,8 +45,8 @@ def half_up(value: Column | str, digits: int = 3) -> Column:
 
 
 def amount_product(quantity: Column | str, price: Column | str) -> Column:
-    """F16: exact product of two money texts, as text with four digits."""
-    return (col(quantity).cast("decimal(16,2)") * col(price).cast("decimal(16,2)")).cast("string")
+    """F16: exact product of two money texts, as text with four digits; unreadable text gives null."""
+    return (col(quantity).try_cast("decimal(16,2)") * col(price).try_cast("decimal(16,2)")).cast("string")
 
 
 def money(value: Column | str, precision: int = 18) -> Column:

@@ -73,7 +73,7 @@ def keep_fields(row: str, allowed: Column) -> Column:
 
 def cart_additions(changes: DataFrame) -> DataFrame:
     """Quantity added to a cart: all of a new row, the increase of an update; decreases are left out (Q6)."""
-    after, before = F.col("after")["sku_num"].cast("int"), F.col("before")["sku_num"].cast("int")
+    after, before = F.col("after")["sku_num"].try_cast("int"), F.col("before")["sku_num"].try_cast("int")
     fresh = F.col("op").isin("r", "c")
     raised = F.col("op").isin("u", "update") & before.isNotNull() & (after > before)
     return (
@@ -89,7 +89,7 @@ def cart_additions(changes: DataFrame) -> DataFrame:
 
 def comment_rows(changes: DataFrame) -> DataFrame:
     """Comments with their source columns; the nick name is read from ``after`` (Q17)."""
-    number = lambda c: F.col("after")[c].cast("bigint").alias(c)
+    number = lambda c: F.col("after")[c].try_cast("bigint").alias(c)
     return of_table(changes, "comment_info").filter(F.col("after").isNotNull()).select(
         "ts_ms",
         *[F.col("source")[c].alias(c) for c in ("db", "table", "server_id")],

@@ -36,8 +36,7 @@ def order_detail_fact(
     def near(name: str):
         if bound is None:
             return F.lit(True)
-        span = F.make_dt_interval(secs=F.lit(bound.total_seconds()).cast("decimal(18,6)"))
-        return F.col(name).between(F.col("event_time") - span, F.col("event_time") + span)
+        return F.col(name).between(F.col("event_time") - F.lit(bound), F.col("event_time") + F.lit(bound))
 
     joined = (
         od.join(oi, (F.col("order_id") == F.col("_oid")) & near("_ot"))
@@ -103,6 +102,6 @@ def order_profile(lines: DataFrame) -> DataFrame:
         "tm_name",
         "split_total_amount",
         time_slot(tolerant_timestamp("create_time")).alias("time_type"),
-        price_band(F.col("split_total_amount").cast("decimal(18,2)")).alias("price_level"),
+        price_band(F.col("split_total_amount").try_cast("decimal(18,2)")).alias("price_level"),
         "ts_ms",
     )

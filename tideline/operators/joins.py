@@ -121,18 +121,16 @@ def interval_join(
         F.col(right_ts).alias("_rts"),
         *[F.col(c).alias(prefix + c) for c in wanted],
     )
-    low = F.make_dt_interval(secs=F.lit(lower.total_seconds()).cast("decimal(18,6)"))
-    high = F.make_dt_interval(secs=F.lit(upper.total_seconds()).cast("decimal(18,6)"))
-    bound = (F.col("_rts") >= F.col(left_ts) + low) & (F.col("_rts") <= F.col(left_ts) + high)
+    bound = (F.col("_rts") >= F.col(left_ts) + F.lit(lower)) & (F.col("_rts") <= F.col(left_ts) + F.lit(upper))
     if left.isStreaming or right.isStreaming:
         return left.join(side, (F.col(key) == F.col("_rk")) & bound, how).drop("_rk", "_rts")
     lo, hi = _micros(lower), _micros(upper)
     width = max(hi - lo, 1_000_000)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    slot = lambda c: F.floor(c / F.lit(width)).cast("bigint")
+    slot = lambda at: at - F.pmod(at, F.lit(width))  # start of the bucket, in integers
     lefts = left.withColumn("_slot", slot(micros(left_ts)))
-    rights = side.withColumn("_slot", F.explode(F.sequence(slot(micros("_rts") - hi), slot(micros("_rts") - lo))))
-    rights = rights.withColumnRenamed("_slot", "_rslot")
+    reach = F.sequence(slot(micros("_rts") - hi), slot(micros("_rts") - lo), F.lit(width))
+    rights = side.withColumn("_rslot", F.explode(reach))
     on = (F.col(key) == F.col("_rk")) & (F.col("_slot") == F.col("_rslot")) & bound
     return lefts.join(rights, on, how).drop("_rk", "_rts", "_slot", "_rslot")
 

@@ -35,7 +35,7 @@ def basic_profile(users: DataFrame, as_of: Column) -> DataFrame:
 def body_profile(supplement: DataFrame) -> DataFrame:
     """Height and weight with their units."""
     return supplement.filter(F.col("uid").isNotNull() & (F.col("uid") != "")).select(
-        "uid", "unit_height", F.col("create_ts").cast("bigint").alias("create_ts"), "weight", "unit_weight",
+        "uid", "unit_height", F.col("create_ts").try_cast("bigint").alias("create_ts"), "weight", "unit_weight",
         "height", "ts_ms",
     )
 

@@ -143,7 +143,7 @@ def band_columns(scores: Column | str, prefix: str) -> list[Column]:
 
 def score_vector(columns: list[str]) -> Column:
     """band columns as a vector, missing -> 0."""
-    return F.array(*[F.coalesce(F.col(c).cast("decimal(20,6)"), F.lit(Decimal("0"))) for c in columns]).cast(SCORES)
+    return F.array(*[F.coalesce(F.col(c).try_cast("decimal(20,6)"), F.lit(Decimal("0"))) for c in columns]).cast(SCORES)
 
 
 def total_scores(parts: dict[str, Column | str], shares: dict[str, str] | None = None) -> Column:

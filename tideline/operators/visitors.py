@@ -17,16 +17,18 @@ RETURN_DAYS = 8
 def first_visits(df: DataFrame, keys: list[str], ts: str, carry: list[str] = (), salts: int = 0) -> DataFrame:
     """T4: one row per key and day, the day's first visit, with the carried columns of that visit.
 
-    Batch: an aggregate that combines before the shuffle. Streaming: two rounds of duplicate removal, the
-    first spread over ``salts`` parts of a busy key.
+    Batch: an aggregate that combines before the shuffle. Streaming: keyed state of the days seen; with
+    ``salts`` a first round, spread over that many parts of a key, drops most repeats inside the JVM.
     """
     dated = df.dropna(subset=keys).withColumn("visit_date", F.to_date(ts))
     if df.isStreaming:
+        from tideline.streaming.state import first_visits_stream
+
         out = dated.select(*keys, "visit_date", ts, *carry)
         if salts:
             spread = out.withColumn("_salt", F.pmod(F.xxhash64(*keys, ts), F.lit(salts)))
             out = spread.dropDuplicatesWithinWatermark([*keys, "visit_date", "_salt"]).drop("_salt")
-        return out.dropDuplicatesWithinWatermark([*keys, "visit_date"])
+        return first_visits_stream(out, keys, "visit_date", ts)
     first = dated.groupBy(*keys, "visit_date").agg(F.min(F.struct(ts, *carry)).alias("_first"))
     return first.select(*keys, "visit_date", *[F.col("_first")[c].alias(c) for c in (ts, *carry)])
 
