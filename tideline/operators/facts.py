@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import day_text, time_slot, tolerant_timestamp
 from tideline.functions.values import amount_product, price_band
-from tideline.operators.joins import enrich, interval_join
+from tideline.operators.joins import enrich, interval_join, small_side
 from tideline.schemas import COMMENT_FACT, ORDER_DETAIL_FACT, PAYMENT_FACT, REFUND_FACT
 
 PAY_LOWER = timedelta(minutes=-30)
@@ -59,7 +59,7 @@ def payment_fact(payments: DataFrame, details: DataFrame, dictionary: DataFrame,
     joined = interval_join(
         pay, lines, "order_id", "_pay_ts", detail_ts, PAY_LOWER, PAY_UPPER, carried
     ).withColumn("ts_ms", F.col("_pay_ms"))
-    named = enrich(joined, dictionary, "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
+    named = enrich(joined, small_side(dictionary), "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
     return named.select(*PAYMENT_FACT)
 
 
@@ -70,6 +70,7 @@ def refund_fact(refunds: DataFrame, orders: DataFrame, dictionary: DataFrame) ->
     renamed = joined.withColumnRenamed("refund_type", "refund_type_code").withColumnRenamed(
         "refund_reason_type", "refund_reason_type_code"
     )
+    dictionary = small_side(dictionary)
     typed = enrich(renamed, dictionary, "refund_type_code", "dic_code", {"dic_name": "refund_type_name"}, "inner")
     reason = {"dic_name": "refund_reason_type_name"}
     return enrich(typed, dictionary, "refund_reason_type_code", "dic_code", reason, "inner").select(*REFUND_FACT)
@@ -77,7 +78,7 @@ def refund_fact(refunds: DataFrame, orders: DataFrame, dictionary: DataFrame) ->
 
 def comment_fact(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Comments with the label of their grade."""
-    return enrich(comments, dictionary, "appraise", "dic_code", {"dic_name": "appraise_name"}, "inner").select(
+    return enrich(comments, small_side(dictionary), "appraise", "dic_code", {"dic_name": "appraise_name"}, "inner").select(
         *COMMENT_FACT
     )
 

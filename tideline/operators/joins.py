@@ -14,11 +14,18 @@ SALTS = 1 << 10
 BROADCAST_ROWS = 100_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Counts at most ``max_rows + 1`` rows."""
+    return not df.isStreaming and df.limit(max_rows + 1).count() <= max_rows
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting at most ``max_rows + 1`` rows; else leave the choice to AQE."""
-    if df.isStreaming:
-        return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """Broadcast hint only behind a check of the size; else the choice is left to AQE.
+
+    For sides whose size the optimizer cannot know, such as a dictionary that is itself an aggregate: the big
+    side would be shuffled before AQE sees how small the other one is.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def _spread(df: DataFrame) -> Column:
@@ -136,12 +143,13 @@ def interval_join(
 
 
 def membership(df: DataFrame, value: str, words: DataFrame, word: str = "word", flag: str = "is_member") -> DataFrame:
-    """True where the value is in the word set."""
+    """True where the value is in the word set: by broadcast within the checked size, else skew-safe."""
     known = words.select(F.col(word).alias(value)).filter(F.col(value).isNotNull()).distinct()
-    if df.isStreaming:
-        known = small_side(known).withColumn(flag, F.lit(True))
-        return df.join(known, value, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    out = skew_join(df, known.withColumn(flag, F.lit(True)), [value], "left")
+    known = known.withColumn(flag, F.lit(True))
+    if df.isStreaming or is_small(known):
+        out = df.join(small_side(known), value, "left")
+    else:
+        out = skew_join(df, known, [value], "left")
     return out.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

@@ -23,10 +23,14 @@ def tumbling(df: DataFrame, ts: str | None, width: str, keys: list[str], aggs: l
 
 
 def sku_orders(
-    df: DataFrame, ts: str | None, width: str, key: str, amounts: list[str], carry: list[str] = ()
+    df: DataFrame, ts: str | None, width: str, key: str, amounts: list[str], carry: list[str] = (),
+    order: list[str] = (),
 ) -> DataFrame:
-    """A1: sums of the amounts per window and sku, with the carried columns of the first row."""
-    first = [F.min_by(c, F.col(ts or "_now")).alias(c) for c in carry]
+    """A1: sums of the amounts per window and sku, with the carried columns of the first row.
+
+    ``order`` decides between rows of the same time.
+    """
+    first = [F.min_by(c, F.struct(ts or "_now", *order)).alias(c) for c in carry]
     return tumbling(df, ts, width, [key], [F.sum(a).alias(a) for a in amounts] + first)
 
 
@@ -176,10 +180,14 @@ def report(df: DataFrame, keys: list[str], amount: str | None = None, total: str
     return df.groupBy(*keys).agg(*aggs)
 
 
-def preaggregate(df: DataFrame, ts: str, grain: str, keys: list[str], sums: dict[str, str]) -> DataFrame:
+def preaggregated(df: DataFrame, keys: list[str | Column], sums: dict[str, Column]) -> DataFrame:
+    """Additive totals per key; totals of totals are totals, so a join can come after the first round."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+
+
+def preaggregate(df: DataFrame, ts: str, grain: str, keys: list[str], sums: dict[str, Column]) -> DataFrame:
     """Additive totals at a time grain; a coarser table is built by applying it to a finer one."""
-    grouped = df.groupBy(F.date_trunc(grain, F.col(ts)).alias("grain"), *keys)
-    return grouped.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return preaggregated(df, [F.date_trunc(grain, F.col(ts)).alias("grain"), *keys], sums)
 
 
 def with_name(metric: DataFrame, dim: DataFrame, key: str, dim_key: str, name: str, out: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
@@ -45,8 +46,8 @@ def _worker_matcher(spark, words: list[str]):
     shared = spark.sparkContext.broadcast(sorted(set(words)))
 
     @F.pandas_udf("array<string>")
-    def contained(texts: pd.Series) -> pd.Series:
-        listed = shared.value
+    def contained(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        listed = shared.value  # the matcher is built once per task
         try:
             import ahocorasick
 
@@ -66,7 +67,8 @@ def _worker_matcher(spark, words: list[str]):
                 first[w] = min(at, first.get(w, at))
             return [w for w, _ in sorted(first.items(), key=lambda x: (x[1], x[0]))]
 
-        return texts.map(ordered)
+        for texts in batches:
+            yield texts.map(ordered)
 
     return contained
 
@@ -116,12 +118,13 @@ def moderate(
     ``is_violation`` stays 0 for P1.
     """
     first = check_last_token(comments, token_words, text, word)
-    second = contained_words(first, text_words, text, row_id, "_found", word, worker_words)
+    probe = first.withColumn("_probe", F.when(F.col("is_violation") == 0, F.col(text)))
+    second = contained_words(probe, text_words, "_probe", row_id, "_found", word, worker_words)
     p1 = (F.col("is_violation") == 0) & (F.size("_found") > 0)
     return (
         second.withColumn("violation_msg", F.when(p1, F.array_join("_found", ", ")).otherwise(F.col("violation_msg")))
         .withColumn("violation_grade", F.when(p1, "P1").otherwise(F.col("violation_grade")))
-        .drop("_found")
+        .drop("_found", "_probe")
     )
 
 

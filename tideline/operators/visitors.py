@@ -29,6 +29,8 @@ def first_visits(df: DataFrame, keys: list[str], ts: str, carry: list[str] = (),
             spread = out.withColumn("_salt", F.pmod(F.xxhash64(*keys, ts), F.lit(salts)))
             out = spread.dropDuplicatesWithinWatermark([*keys, "visit_date", "_salt"]).drop("_salt")
         return first_visits_stream(out, keys, "visit_date", ts)
+    if not carry:  # a plain minimum aggregates by hash, without a sort
+        return dated.groupBy(*keys, "visit_date").agg(F.min(ts).alias(ts))
     first = dated.groupBy(*keys, "visit_date").agg(F.min(F.struct(ts, *carry)).alias("_first"))
     return first.select(*keys, "visit_date", *[F.col("_first")[c].alias(c) for c in (ts, *carry)])
 
@@ -54,7 +56,8 @@ def repair_visitor_flag(df: DataFrame, key: str, ts: str, flag: str, order: list
     day = F.to_date(ts)
     claimed = F.when(F.col(flag) == "1", day).otherwise(F.date_sub(day, 1))
     state = df.groupBy(key).agg(
-        F.min_by(claimed, F.struct(ts, *order)).alias("_first_day"), F.count("*").alias("_rows")
+        F.min_by(claimed, F.struct(ts, *order) if order else F.col(ts)).alias("_first_day"),
+        F.count("*").alias("_rows"),
     )
     joined = skew_join(df, state, [key], "left", weight="_rows")
     stale = (F.col(flag) == "1") & (day != F.col("_first_day"))

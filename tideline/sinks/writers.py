@@ -49,9 +49,15 @@ def write_topic(frame: DataFrame, servers: str, **options: str) -> None:
     frame.write.format("kafka").options(**{"kafka.bootstrap.servers": servers, **options}).save()
 
 
+def balanced(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a folder together, so that not every task writes a small file per folder; AQE cuts folders
+    that are large into several tasks and joins small ones."""
+    return df.hint("rebalance", column)
+
+
 def write_by_destination(frame: DataFrame, path: str, column: str = "sink_table", mode: str = "append") -> None:
-    """K2 on files: one folder per destination. Rows stay where they are; big destinations get more files."""
-    frame.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(path)
+    """K2 on files: one folder per destination."""
+    balanced(frame, column).write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(path)
 
 
 def day_bucket(value: Column | str, field: str) -> Column:
@@ -65,7 +71,7 @@ def day_bucket(value: Column | str, field: str) -> Column:
 def write_by_day(df: DataFrame, path: str, field: str, value: str = "value", mode: str = "append") -> None:
     """K7: text files in ``day=yyyyMMdd`` folders."""
     rows = df.select(F.col(value).alias("value"), day_bucket(value, field).alias("day"))
-    rows.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(path)
+    balanced(rows, "day").write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(path)
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists") -> None:
