@@ -273,3 +273,57 @@ def test_text_files(spark, tmp_path):
 def test_scratch_folder(spark):
     assert scratch_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins by shuffle into eight fixed parts, so that the share of each part can be read."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+    def sizes(df):
+        # All columns are read, else the optimizer may leave the join out.
+        used = F.max(F.xxhash64(*df.columns)).alias("used")
+        counted = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("size"), used)
+        return [r["size"] for r in counted.collect()]
+
+    yield sizes
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def busy_rows(spark, count=20_000):
+    """A third of the rows has one key, the rest is spread thin."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("busy")).otherwise(F.concat(F.lit("k"), (F.col("id") % 4001).cast("string")))
+    return spark.range(count).select(
+        key.alias("key"), F.col("id").alias("n"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60).alias("ts"),
+        F.when(F.col("id") % 2 == 0, "1").otherwise("0").alias("is_new"), F.lit(1.0).alias("amount"),
+    )
+
+
+def test_busy_key_is_spread_over_parts(spark, shuffled):
+    rows = busy_rows(spark)
+    fair = 20_000 / 8 * 1.5
+    side = rows.groupBy("key").agg(F.count("*").alias("w"), F.min("n").alias("first"))
+    plain = rows.join(side.select("key", "first"), "key", "left")
+    assert max(shuffled(plain)) > fair  # what the operators below avoid
+    assert max(shuffled(joins.skew_join(rows, side, ["key"], "left", "w"))) < fair
+    assert max(shuffled(joins.skew_join(rows, side.drop("w"), ["key"], "left"))) < fair
+    assert max(shuffled(repair_visitor_flag(rows, "key", "ts", "is_new", ["n"]))) < fair
+    assert max(shuffled(retract_versions(rows, "key", ["ts", "n"], ["amount"], row_id=["n"]))) < 2 * fair
+    near = joins.interval_join(rows, rows, "key", "ts", "ts", -timedelta(hours=1), timedelta(0), ["n"], "r_")
+    counts = shuffled(near)
+    assert max(counts) < sum(counts) / 8 * 1.5
+    running = metrics.running_counts(rows, "key", "ts", ["n"], {"pv": F.lit(1)})
+    assert max(shuffled(running)) < fair
+
+
+def test_busy_key_leaves_a_task_as_one_row(spark, shuffled):
+    """What crosses the shuffle is one row per key and task, so the busy key is no bigger than the others."""
+    rows = busy_rows(spark).repartition(4)
+    for out, where in [(latest_per_key(rows, ["key"], ["ts"]), "WindowGroupLimit"), (metrics.report(rows, ["key"], "amount"), "partial_sum")]:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        exchange = plan.index("hashpartitioning(key")
+        assert where in plan[exchange:]

@@ -111,20 +111,17 @@ def envelope(
 ) -> Column:
     """The change event of a row as JSON text: what a landed capture file holds."""
 
-    def text_map(fields: dict[str, Column] | None) -> Column:
+    def row(fields: dict[str, Column] | None) -> Column:
         if fields is None:
-            return F.lit(None).cast("map<string,string>")
-        pairs = [x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))]
-        return F.create_map(*pairs)
+            return F.lit(None).cast("struct<id:string>")
+        return F.struct(*[v.cast("string").alias(k) for k, v in fields.items()])
 
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    source = F.create_map(
-        F.lit("db"), F.lit(db), F.lit("table"), lit(table).cast("string"), F.lit("server_id"), F.lit("0")
-    )
+    source = F.struct(F.lit(db).alias("db"), lit(table).cast("string").alias("table"), F.lit("0").alias("server_id"))
     return F.to_json(
         F.struct(
-            text_map(before).alias("before"),
-            text_map(after).alias("after"),
+            row(before).alias("before"),
+            row(after).alias("after"),
             source.alias("source"),
             lit(op).cast("string").alias("op"),
             lit(ts_ms).cast("bigint").alias("ts_ms"),

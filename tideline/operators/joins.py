@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ def _spread(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(SALTS)) + 1
 
 
+def _present(names: list[str]) -> Column:
+    return reduce(and_, [F.col(n).isNotNull() for n in names])
+
+
 def skew_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "left", weight: str | None = None
 ) -> DataFrame:
@@ -55,18 +61,18 @@ def skew_join(
     else:
         values = [c for c in right.columns if c not in on and c != weight]
         # Both uses below read the same columns of the same rows, so the aggregate behind them runs once.
-        packed = right.dropna(subset=on).select(
+        packed = right.filter(_present(on)).select(
             *on, weight, F.struct(*[F.col(c) for c in right.columns]).alias("_side")
         )
         hot = packed.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
     hot = hot.select(*on, F.col("_side").alias("_hot"))
     columns = left.columns
     marked = left.join(F.broadcast(hot), on, "left")
-    apart = F.col("_hot").isNotNull()
-    for name in on:
-        apart = apart | F.col(name).isNull()
+    apart = F.col("_hot").isNotNull() | ~_present(on)
     salted = marked.withColumn("_salt", F.when(apart, _spread(left)).otherwise(F.lit(0).cast("bigint")))
-    cold = packed.select(*on, F.col("_side").alias("_cold"), F.lit(0).cast("bigint").alias("_salt"))
+    # Always 0, but not a constant: a constant would be folded out of the join keys, and with it the spread.
+    zero = F.coalesce(F.pmod(F.xxhash64(*on), F.lit(1)), F.lit(0))
+    cold = packed.select(*on, F.col("_side").alias("_cold"), zero.alias("_salt"))
     joined = salted.join(cold, [*on, "_salt"], "left").withColumn("_side", F.coalesce("_hot", "_cold"))
     if how == "inner":
         joined = joined.filter(F.col("_side").isNotNull())
