@@ -62,6 +62,13 @@ def test_tolerant_time(evaluate):
     assert evaluate(["2024-01-01 00:00:01", "x"], "string", tm.text_millis("v")) == [1704067201000, None]
 
 
+def test_event_times(spark):
+    rows = spark.createDataFrame([("5", "7"), (None, "7"), ("x", None)], "block_timestamp string, timestamp string")
+    assert [r.event_time and r.event_time.second for r in tm.event_time(rows, ["block_timestamp", "timestamp"]).collect()] == [5, 7, None]
+    lists = spark.createDataFrame([([("3000",), ("9000",)],), ([],), (None,)], "items array<struct<window_start_time:string>>")
+    assert [r.event_time and r.event_time.second for r in tm.list_event_time(lists, "items").collect()] == [3, None, None]
+
+
 def test_day_partitions(evaluate):
     out = evaluate([date(2023, 12, 30), date(2024, 1, 2), date(2024, 1, 3)], "date", tm.day_partitions("v", F.lit("2024-01-02")))
     assert out == [[20231230, 20231231, 20240101, 20240102], [20240102], []]

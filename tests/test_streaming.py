@@ -12,7 +12,7 @@ from tideline.operators import cdc, facts, metrics
 from tideline.operators.dedup import first_per_key, last_per_window, latest_per_key, retract_versions
 from tideline.operators.joins import interval_join, membership
 from tideline.operators.visitors import first_visits, login_days, repair_visitor_flag
-from tideline.sinks.writers import batch_writer, read_snapshot, topic_frame, upserter
+from tideline.sinks.writers import batch_writer, read_snapshot, read_totals, topic_frame, totals_writer, upserter
 from tideline.sources.readers import change_events, message_files
 from tideline.streaming.runner import late_rows, run, start
 from tideline.streaming.state import (
@@ -265,6 +265,16 @@ def test_topic_frame_and_memory_sink(spark, feed, tmp_path):
     assert out.filter("value like '%page_id%'").count() == 0
 
 
+def test_totals_follow_the_stream(spark, feed, tmp_path):
+    """Totals refreshed per micro-batch equal direct totals, also after a batch is replayed."""
+    batch, stream = feed(rows(90))
+    sums = {"amount": F.col("amount"), "n": F.lit(1)}
+    path, write = str(tmp_path / "totals"), totals_writer(str(tmp_path / "totals"), ["key"], sums)
+    run(stream, str(tmp_path / "cp"), write=write)
+    write(batch.filter("id < 23"), 0)
+    assert bag(read_totals(spark, path, ["key"], ["amount", "n"])) == bag(metrics.preaggregated(batch, ["key"], sums))
+
+
 def test_processing_time_window(spark, feed, collect):
     """W3."""
     _, stream = feed(rows(10))

@@ -93,6 +93,11 @@ def window_bounds(window: Column | str = "window") -> list[Column]:
     ]
 
 
+def list_event_time(df: DataFrame, items: str, field: str = "window_start_time", name: str = "event_time") -> DataFrame:
+    """T8 for rows that hold a list of records: the time (milliseconds) of the first record."""
+    return df.withColumn(name, F.timestamp_millis(F.get(F.col(items), 0)[field].try_cast("bigint")))
+
+
 def event_time(df: DataFrame, fields: list[str], seconds: bool = True, name: str = "event_time") -> DataFrame:
     """The first present field, seconds or milliseconds, as the event time column."""
     value = F.coalesce(*[F.col(f).try_cast("bigint") for f in fields])

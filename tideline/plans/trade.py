@@ -15,7 +15,7 @@ from tideline.plans.inputs import (
 )
 from tideline.plans.registry import query
 from tideline.session import scratch
-from tideline.sinks.writers import to_json_text
+from tideline.sinks.writers import land_by_table, to_json_text
 from tideline.sources.readers import camel_columns
 
 MONTH = "30 days"
@@ -201,8 +201,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_changes(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """Parse once and write by source table, so each table is read by partition pruning afterwards."""
     path = scratch(spark, "ods")
-    changes = cdc.valid_changes(cdc.parse_cdc(messages)).withColumn("table", F.col("source")["table"])
-    changes.write.partitionBy("table").parquet(path)
+    land_by_table(cdc.valid_changes(cdc.parse_cdc(messages)), path)
     return spark.read.parquet(path)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tideline.functions.time import COMPACT_DATE
 from tideline.operators.dedup import latest_per_key
+from tideline.operators.metrics import preaggregated
 
 ERROR_BUCKET = "error_bucket"
 FILE_ROWS = 5_000_000
@@ -95,6 +96,21 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return lambda df, batch_id: write_batch(df, batch_id, path)
 
 
+def totals_writer(path: str, keys: list[str], sums: dict[str, Column]) -> Callable[[DataFrame, int], None]:
+    """Adds each micro-batch to a table of totals, as one row per key and batch."""
+    return lambda df, batch_id: write_batch(preaggregated(df, keys, sums), batch_id, path)
+
+
+def read_totals(spark: SparkSession, path: str, keys: list[str], names: list[str]) -> DataFrame:
+    """Current totals of a table kept by ``totals_writer``."""
+    return preaggregated(spark.read.parquet(path), keys, {n: F.col(n) for n in names})
+
+
+def land_by_table(changes: DataFrame, path: str, mode: str = "append") -> None:
+    """Parsed change events in a folder per source table, so that one table is read by partition pruning."""
+    changes.withColumn("table", F.col("source")["table"]).write.mode(mode).partitionBy("table").parquet(path)
+
+
 DELETED = "_deleted"
 
 
