@@ -143,8 +143,8 @@ def test_inferred_band(spark):
         scoring.inferred_band(totals("0", "0", "0", "0", "0", "0")).alias("none"),
         scoring.inferred_band(totals("1", "3", "3", "0", "0", "0")).alias("tie"),
         scoring.inferred_band(totals("1", "3", "3", "0", "0", "9")).alias("last"),
-        scoring.inferred_band(scoring.total_scores({"a": F.lit(None).cast(scoring.SCORES), "b": scoring.brand_scores(F.lit("TCL"))})).alias("missing"),
-    ).first()
+        F.lit(None).cast(scoring.SCORES).alias("a"), scoring.brand_scores(F.lit("TCL")).alias("b"),
+    ).withColumn("missing", scoring.inferred_band(scoring.total_scores({"a": "a", "b": "b"}))).first()
     assert (row.none, row.tie, row.last, row.missing) == ("18-24", "25-29", "50", "50")
     vector = spark.createDataFrame([("0.5", None)], "a string, b string").select(scoring.score_vector(["a", "b"]).cast("array<double>")).first()[0]
     assert vector == [0.5, 0.0]

@@ -59,10 +59,10 @@ AMOUNT_LIMITS = (1000, 4000)
 NO_SCORES = [0.0] * len(BANDS)
 
 
-def _scores(weights: list[float], rate: str) -> Column:
+def _scores_sql(weights: list[float], rate: str) -> str:
     """weight x rate, half-up to three digits, exact in decimal."""
     exact = [(Decimal(str(w)) * Decimal(rate)).quantize(Decimal("0.001"), "ROUND_HALF_UP") for w in weights]
-    return F.array(*[F.lit(x) for x in exact]).cast(SCORES)
+    return f"cast(array({', '.join(f'{x}BD' for x in exact)}) as {SCORES})"
 
 
 def scores_by_label(
@@ -70,11 +70,11 @@ def scores_by_label(
 ) -> Column:
     """Score vector of a label; the weight table is part of the expression, so nothing is joined."""
     value = col(label)
-    table = F.create_map(*[x for k, w in weights.items() for x in (F.lit(k), _scores(w, rate))])
+    table = F.expr("map(" + ", ".join(f"'{k}', {_scores_sql(w, rate)}" for k, w in weights.items()) + ")")
     found = F.element_at(table, value)
     if default is None:
         return found
-    return F.when(value.isNotNull() & (value != ""), F.coalesce(found, _scores(default, rate)))
+    return F.when(value.isNotNull() & (value != ""), F.coalesce(found, F.expr(_scores_sql(default, rate))))
 
 
 def device_scores(os: Column | str, rate: str = DEVICE_RATE) -> Column:
@@ -85,7 +85,7 @@ def device_scores(os: Column | str, rate: str = DEVICE_RATE) -> Column:
 def search_scores(search_category: Column | str, rate: str = SEARCH_RATE) -> Column:
     """an unknown or missing search category scores 0."""
     known = scores_by_label(search_category, SEARCH_WEIGHTS, rate)
-    return F.coalesce(known, _scores(NO_SCORES, rate))
+    return F.coalesce(known, F.expr(_scores_sql(NO_SCORES, rate)))
 
 
 def with_search_category(
@@ -146,22 +146,12 @@ def score_vector(columns: list[str]) -> Column:
     return F.array(*[F.coalesce(F.col(c).try_cast("decimal(20,6)"), F.lit(Decimal("0"))) for c in columns]).cast(SCORES)
 
 
-def total_scores(parts: dict[str, Column | str], shares: dict[str, str] | None = None) -> Column:
-    """sum per band; ``shares`` weights the parts, a missing part counts 0."""
-    zero = _scores(NO_SCORES, "1")
-    vectors = []
-    for name, part in parts.items():
-        share = F.lit(Decimal(shares[name]) if shares else Decimal(1)).cast("decimal(6,3)")
-        vectors.append((F.coalesce(col(part).cast(SCORES), zero), share))
-
-    def band(i: int) -> Column:
-        total = None
-        for vector, share in vectors:
-            term = F.coalesce(F.element_at(vector, i + 1), F.lit(Decimal(0))) * share
-            total = term if total is None else total + term
-        return total
-
-    return F.array(*[band(i).cast("decimal(20,9)") for i in range(len(BANDS))])
+def total_scores(parts: dict[str, str], shares: dict[str, str] | None = None) -> Column:
+    """sum per band of the named score columns; ``shares`` weights the parts, a missing part counts 0."""
+    share = lambda name: f" * {shares[name]}BD" if shares else ""
+    band = lambda i: " + ".join(f"coalesce(element_at(`{c}`, {i}), 0BD){share(n)}" for n, c in parts.items())
+    totals = ", ".join(f"cast({band(i + 1)} as decimal(20,9))" for i in range(len(BANDS)))
+    return F.expr(f"array({totals})")
 
 
 def inferred_band(totals: Column | str) -> Column:

@@ -42,11 +42,13 @@ def pin_time_zone(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
