@@ -13,7 +13,7 @@ from tideline.operators import cdc, joins, logs, metrics, moderation, routing
 from tideline.operators.dedup import distinct_rows, first_per_key, latest_per_key, retract_versions
 from tideline.operators.dims import flat_dictionary, row_count, scan
 from tideline.operators.reshape import pivot, unpivot
-from tideline.operators.scoring import weight_lookup
+from tideline.operators.scoring import DEFAULT_BRAND, brand_weight_lookup, weight_lookup
 from tideline.operators.visitors import login_days, repair_visitor_flag
 from tideline.session import scratch, scratch_root
 from tideline.sinks.writers import compact, exists, read_snapshot, upsert_batch, write_by_day, write_csv
@@ -215,6 +215,8 @@ def test_weight_lookup(spark):
     weights = spark.createDataFrame([("x", {"18-24": 0.1}), ("base", {"18-24": 0.9})], "label string, bands map<string,double>")
     df = spark.createDataFrame([("x",), ("y",), (None,)], "l string")
     read = lambda out: {r.l: r.w and r.w["18-24"] for r in out.collect()}
+    brands = weights.unionByName(spark.createDataFrame([(DEFAULT_BRAND, {"18-24": 0.5})], weights.schema))
+    assert read(brand_weight_lookup(df, "l", brands, "w")) == {"x": 0.1, "y": 0.5, None: 0.5}
     assert read(weight_lookup(df, "l", weights, "w")) == {"x": 0.1, "y": None, None: None}
     assert read(weight_lookup(df, "l", weights, "w", "base")) == {"x": 0.1, "y": 0.9, None: 0.9}
 

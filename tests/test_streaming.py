@@ -8,12 +8,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators import cdc, facts, metrics
+from tideline.operators import cdc, facts, logs, metrics
 from tideline.operators.dedup import first_per_key, last_per_window, latest_per_key, retract_versions
 from tideline.operators.joins import interval_join, membership
+from tideline.operators.routing import latest_rules, router
 from tideline.operators.visitors import first_visits, login_days, repair_visitor_flag
+from tideline.schemas import APP_LOG
 from tideline.sinks.writers import batch_writer, read_snapshot, read_totals, topic_frame, totals_writer, upserter
-from tideline.sources.readers import change_events, message_files
+from tideline.sources.readers import change_events, json_table, message_files
 from tideline.streaming.runner import late_rows, run, start
 from tideline.streaming.state import (
     login_days_stream, newest_after_delay, repair_flag_stream, retract_stream, value_sets_stream,
@@ -265,6 +267,54 @@ def test_topic_frame_and_memory_sink(spark, feed, tmp_path):
     assert out.filter("value like '%page_id%'").count() == 0
 
 
+def test_routing_with_changing_rules(spark, tmp_path):
+    """A rule that is deleted between two micro-batches no longer applies in the second."""
+    messages, rule_path = str(tmp_path / "m"), str(tmp_path / "rules")
+    names = ["source_table", "source_type", "sink_table", "sink_columns"]
+
+    def land(path, *texts):
+        spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(path)
+
+    def rule(table, op, ts):
+        body = f'{{"source_table":"{table}","source_type":"insert","sink_table":"dwd_{table}","sink_columns":"id"}}'
+        images = f'"before":{body},"after":null' if op == "d" else f'"after":{body}'
+        return f'{{{images},"op":"{op}","ts_ms":{ts}}}'
+
+    change = lambda table, key: f'{{"after":{{"id":"{key}","x":"1"}},"source":{{"table":"{table}"}},"op":"c","ts_ms":{key}}}'
+    rules = lambda: latest_rules(change_events(spark, rule_path), names[:2], names)
+    routed, rest = str(tmp_path / "routed"), str(tmp_path / "rest")
+    handle = router(rules, batch_writer(routed), batch_writer(rest), by_op=True)
+    stream = lambda: cdc.split_dirty(change_events(spark, messages, streaming=True))[0]
+    land(rule_path, rule("a", "c", 1), rule("b", "c", 1))
+    land(messages, change("a", 1), change("b", 2), change("c", 3))
+    run(stream(), str(tmp_path / "cp"), write=handle)
+    land(rule_path, rule("b", "d", 2))
+    land(messages, change("a", 4), change("b", 5))
+    run(stream(), str(tmp_path / "cp"), write=handle)
+    out = {(r.sink_table, r.ts_ms): r.data for r in spark.read.parquet(routed).collect()}
+    assert out == {("dwd_a", 1): {"id": "1"}, ("dwd_b", 2): {"id": "2"}, ("dwd_a", 4): {"id": "4"}}
+    assert {r.ts_ms for r in spark.read.parquet(rest).collect()} == {3, 5}
+
+
+def test_app_logs_as_a_table(spark, tmp_path, collect):
+    """Typed logs with a computed, watermarked event time, read as a stream under a view name."""
+    def log(uid, item_type, page=True):
+        body = f',"page":{{"page_id":"home","last_page_id":"search","item":"w","item_type":"{item_type}","during_time":5}}' if page else ""
+        return f'{{"common":{{"mid":"m","uid":"{uid}","os":"iOS 13.3"}}{body},"ts":1704067200000}}'
+
+    path = str(tmp_path / "logs")
+    texts = [log("1", "keyword"), log("", "keyword"), log("2", "sku_id"), log("3", "keyword", page=False), "{"]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(path)
+    table = json_table(
+        message_files(spark, path, streaming=True), APP_LOG, "app_logs", {"pt": F.current_timestamp(), "at": F.timestamp_millis("ts")}, "at", "5 seconds"
+    )
+    assert spark.table("app_logs").isStreaming
+    out, _ = collect(logs.device_keywords(logs.page_views(table)))
+    assert bag(out, ["uid", "os", "keyword"]) == Counter([("1", "iOS", "w")])
+    out, _ = collect(logs.searches(logs.page_views(table)).select("uid", "full_word"))
+    assert bag(out) == Counter([("1", "w"), ("", "w")])
+
+
 def test_totals_follow_the_stream(spark, feed, tmp_path):
     """Totals refreshed per micro-batch equal direct totals, also after a batch is replayed."""
     batch, stream = feed(rows(90))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,22 @@ def with_ops(rules: DataFrame) -> DataFrame:
     return rules.withColumn("rule_op", F.explode(ops))
 
 
+def router(
+    read_rules: Callable[[], DataFrame], write: Callable[[DataFrame, int], None],
+    write_rest: Callable[[DataFrame, int], None] | None = None, by_op: bool = False,
+) -> Callable[[DataFrame, int], None]:
+    """J9/J10 for ``foreachBatch``: rules are read anew for each micro-batch, so a changed rule applies from
+    the next batch on."""
+
+    def handle(changes: DataFrame, batch_id: int) -> None:
+        matched, rest = route(changes, read_rules(), by_op)
+        write(matched, batch_id)
+        if write_rest is not None:
+            write_rest(rest, batch_id)
+
+    return handle
+
+
 def route(changes: DataFrame, rules: DataFrame, by_op: bool = False) -> tuple[DataFrame, DataFrame]:
     """J9 (by table) / J10 (by table and op): matched rows with their sink and pruned columns; unmatched rows.
 

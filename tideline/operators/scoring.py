@@ -133,6 +133,11 @@ def weight_lookup(df: DataFrame, label: str, weights: DataFrame, out: str, defau
     return source.join(side, value == F.col("_w_label"), "left").drop("_w_label", "_known")
 
 
+def brand_weight_lookup(df: DataFrame, brand: str, weights: DataFrame, out: str = "tm_code") -> DataFrame:
+    """J18 for brands: an unknown brand reads the weights of the default brand."""
+    return weight_lookup(df, brand, weights, out, DEFAULT_BRAND)
+
+
 def band_columns(scores: Column | str, prefix: str) -> list[Column]:
     """The score vector as one column per band."""
     return [

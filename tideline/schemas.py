@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
-MONEY = T.DecimalType(16, 2)
 CORRUPT = "_corrupt_record"
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +75,3 @@ def weight_table(spark: SparkSession, path: str) -> DataFrame:
     """Label -> band map rows of a weight file."""
     rows = spark.read.text(path).select(F.explode(F.from_json("value", BAND_MAPS)).alias("label", "bands"))
     return rows
-
-
-def safe_name(name: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", name)
