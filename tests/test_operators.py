@@ -320,6 +320,8 @@ def test_busy_key_is_spread_over_parts(spark, shuffled):
     assert max(counts) < sum(counts) / 8 * 1.5
     running = metrics.running_counts(rows, "key", "ts", ["n"], {"pv": F.lit(1)})
     assert max(shuffled(running)) < fair
+    sets = metrics.user_running_sets(rows, "key", "ts", ["n"], ["is_new"])
+    assert sets.count() == 20_000 and max(shuffled(sets)) < fair
 
 
 def test_busy_key_leaves_a_task_as_one_row(spark, shuffled):

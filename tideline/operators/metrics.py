@@ -149,7 +149,8 @@ def user_running_sets(
     """A8, running form: on every row the count so far and the sets so far.
 
     A set only changes at the first appearance of a value, so sets are built once per appearance (rows
-    bounded by distinct values) and each row looks its version up by the number of appearances so far.
+    bounded by distinct values) and each row looks its version up by the number of appearances so far. The
+    lookup is per time slot, so that the long last version of a busy user is not one group.
     """
     position = F.struct(ts, *order)
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
@@ -170,7 +171,14 @@ def user_running_sets(
     counted = running_counts(
         rows, key, ts, order, {"pv": F.lit(1), "_version": F.coalesce("_change", F.lit(0))}, slot
     )
-    out = counted.join(texts, [key, "_version"], "left")
+    at_slot = lambda c: F.date_trunc(slot, c).alias("_slot")
+    before = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    entering = rows.groupBy(key, at_slot(F.col(ts))).agg(F.count("_change").alias("_n")).select(
+        key, "_slot", F.sum("_n").over(before).alias("_version")
+    )
+    starting = versions.select(key, at_slot(F.col("_at")[ts]), "_version")
+    by_slot = starting.unionByName(entering.filter(F.col("_version") > 0)).join(texts, [key, "_version"])
+    out = counted.withColumn("_slot", at_slot(F.col(ts))).join(by_slot, [key, "_slot", "_version"], "left")
     return out.select(key, ts, *order, "pv", *[F.coalesce(f"_s_{f}", F.lit("")).alias(f) for f in fields])
 
 
