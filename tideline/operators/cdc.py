@@ -40,8 +40,9 @@ def valid_changes(parsed: DataFrame) -> DataFrame:
 
 
 def of_table(changes: DataFrame, table: str, ops: tuple[str, ...] | None = None) -> DataFrame:
-    """The change events of one source table (and ops)."""
-    wanted = changes.filter(F.col("source")["table"] == table)
+    """The change events of one source table (and ops); on landed events this prunes folders."""
+    name = F.col("table") if "table" in changes.columns else F.col("source")["table"]
+    wanted = changes.filter(name == table)
     return wanted.filter(F.col("op").isin(*ops)) if ops else wanted
 
 

@@ -205,10 +205,6 @@ def land_changes(spark: SparkSession, messages: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def rows_of(landed: DataFrame, name: str) -> DataFrame:
-    return cdc.rows_of(landed.filter(F.col("table") == name), name)
-
-
 ORDER_DETAIL_SQL = f"""
 SELECT {LINE_ID} AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
   CAST(l_partkey AS VARCHAR) AS sku_id, 'sku ' || l_partkey AS sku_name, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
@@ -231,7 +227,7 @@ JOIN orders ON l_orderkey = o_orderkey
 def order_detail_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = land_changes(spark, order_events(spark, sf_dir))
     return facts.order_detail_fact(
-        *[rows_of(landed, t) for t in ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")]
+        *[cdc.rows_of(landed, t) for t in ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")]
     )
 
 
