@@ -6,6 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_point
+from tideline.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     ok, note = compare(spark, con, name, SF_DIR)
     assert ok, note

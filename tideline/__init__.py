@@ -5,15 +5,3 @@ the shuffle, so a single busy key never lands in one task; streaming forms use w
 """
 
 __version__ = "0.1.0"
-
-
-def _travel_with_tasks() -> None:
-    """Functions of this package are sent to Python workers whole: executors need not have it installed."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-_travel_with_tasks()

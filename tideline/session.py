@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,7 +34,21 @@ def local_session(cores: int | str = 8, app: str = "tideline", **conf: str) -> S
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, once per application: executors need not have it installed."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tideline-')}/tideline-package", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)  # Spark's file service hands the driver's copy to every executor
+        _SHIPPED.add(application)
+    return spark
 
 
 def pin_time_zone(spark: SparkSession) -> SparkSession:
