@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
-from tideline.llm import chat  # noqa: F401
+from tideline.llm import chat, tokens  # noqa: F401
 from tideline.llm.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
