@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from tokenizers import Tokenizer
 from tideline.llm.registry import query, table
 from tideline.session import scratch
 
-MEMO_WORDS = 1 << 20
+MEMO_WORDS = 3 << 19
 SEQUENCE_TOKENS = 1024
 BATCH_SEQUENCES = 64
 END_ID = 2
@@ -76,9 +77,13 @@ class Words:
         spaced = {p for p in parts if p[0] == " " and regular(p[1:]) and "\n" not in p}
         rest = {p[1:] for p in spaced}.union(*(words[1:] for i, words in enumerate(split) if i not in whole))
         lines = {w for w in rest if w[0] == "\n"}
+        # Letters and a full stop or comma after them are two pre-tokens: both are known from elsewhere.
+        stopped = [w for w in rest - after.keys() - lines if w[-1] in ".," and w[:-1].isalpha()]
         firsts = {words[0] for i, words in enumerate(split) if i not in whole}.union(w[1:] for w in lines)
-        self.learn(bare, firsts.union((p for p in parts if p not in spaced), ("\n",)), "")
-        self.learn(after, rest - lines, " ")
+        self.learn(bare, firsts.union((p for p in parts if p not in spaced), ("\n", ".", ",")), "")
+        rest.difference_update(stopped)
+        self.learn(after, rest.union(w[:-1] for w in stopped) - lines, " ")
+        after.update((w, after[w[:-1]] + bare[w[-1]]) for w in stopped)
         after.update((w, bare["\n"] + bare[w[1:]]) for w in lines)
         for i, words in enumerate(split):
             if i in whole:
@@ -176,7 +181,8 @@ def _encoder(path: str) -> tuple[Words, np.dtype]:
     kind = id_type(path)
 
     def encode(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=kind).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        code = "H" if kind.itemsize == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     return Words(encode, {}), kind
 
