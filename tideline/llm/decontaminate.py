@@ -13,6 +13,7 @@ long as the items it may come from.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,39 +34,32 @@ BROADCAST_ROWS = 1 << 20
 _LANES = 0x0001000100010001
 
 
-def shingles(text: Column) -> Column:
-    """Array of all shingles in order; empty for null texts and those of fewer than five words."""
-    spaced = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    words = F.split(spaced, " ")
-    strings = F.transform(F.sequence(F.lit(1), F.size(words) - (WORDS - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, WORDS)))
-    coded = F.transform(
-        strings, lambda s: F.xxhash64(s).bitwiseAND(F.lit(-8)).bitwiseOR(F.least(F.lit(7), F.shiftright(F.octet_length(s), 3)).cast("bigint"))
-    )
-    return F.when(F.size(words) >= WORDS, coded).otherwise(F.array().cast("array<bigint>"))
+def words_of(text: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
+
+
+def shingle(words: Column, at: Column) -> Column:
+    """The shingle that starts at a word (from 0) of a column of words."""
+    string = F.concat_ws(" ", F.slice(words, (at + 1).cast("int"), WORDS))
+    return F.xxhash64(string).bitwiseAND(F.lit(-8)).bitwiseOR(F.least(F.lit(7), F.shiftright(F.octet_length(string), 3)).cast("bigint"))
 
 
 def weight(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a + x.bitwiseAND(F.lit(7)) + 1)
 
 
-def fingerprint(items: Column) -> Column:
-    """SimHash of at most LONGEST shingles. Each of 16 sums counts four bits of the hashes, in lanes of 16 bits."""
+def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``fp`` for each key: the SimHash of its rows' shingles ``x``, of which there are at most LONGEST.
 
-    def of(window: Column) -> Column:
-        half = F.shiftright(weight(window), 1)
-        out: Column = F.lit(0).cast("bigint")
-        for k in range(16):
-            lanes = F.aggregate(
-                window,
-                F.lit(0).cast("bigint"),
-                lambda a, x: a + F.shiftrightunsigned(x, k).bitwiseAND(F.lit(_LANES)) * (x.bitwiseAND(F.lit(7)) + 1),  # noqa: B023
-            )
-            # A lane over half reaches bit 14; no lane reaches bit 15.
-            over = F.shiftright(lanes + (F.lit(0x3FFF) - half) * F.lit(_LANES), 14).bitwiseAND(F.lit(_LANES))
-            out = out.bitwiseOR(F.shiftleft(over, k))
-        return out
-
-    return F.get(F.transform(F.array(items), of), F.lit(0))
+    Each of 16 sums counts four bits of the hashes, in lanes of 16 bits.
+    """
+    heavy = F.col("x").bitwiseAND(F.lit(7)) + 1
+    lanes = [F.sum(F.shiftrightunsigned("x", k).bitwiseAND(F.lit(_LANES)) * heavy).alias(f"s{k}") for k in range(16)]
+    sums = rows.groupBy(*keys).agg(*lanes, F.sum(heavy).alias("total"))
+    # A lane over half of the weight reaches bit 14; no lane reaches bit 15.
+    lift = (F.lit(0x3FFF) - F.shiftright("total", 1)) * F.lit(_LANES)
+    bits = [F.shiftleft(F.shiftright(F.col(f"s{k}") + lift, 14).bitwiseAND(F.lit(_LANES)), k) for k in range(16)]
+    return sums.select(*keys, reduce(Column.bitwiseOR, bits).alias("fp"))
 
 
 def blocks(fp: Column) -> Column:
@@ -98,35 +92,42 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     LONGEST shingles match by any part. Null doc_ids and null texts take no part, repeated rows count once. No rows on
     either side: no rows.
     """
-    whole = items.select("item_id", shingles(F.col("text")).alias("all")).filter(F.size("all") > 0)
-    parts = whole.select("item_id", "all", F.explode(F.sequence(F.lit(1), F.size("all"), F.lit(LONGEST))).alias("from"))
-    parts = parts.select("item_id", F.slice("all", F.col("from"), LONGEST).alias("item")).withColumn("n", F.size("item"))
-    parts = kept(parts.withColumn("item_fp", fingerprint(F.col("item"))), "items")
+    split = items.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= WORDS)
+    starts = F.sequence(F.lit(0), F.size("words") - WORDS, F.lit(LONGEST))
+    parts = split.select("item_id", "words", F.explode(starts).alias("from"))
+    last = F.least(F.col("from") + (LONGEST - 1), F.size("words") - WORDS)
+    item = F.transform(F.sequence("from", last), lambda i: shingle(F.col("words"), i))
+    parts = kept(parts.select("item_id", "from", item.alias("item")).withColumn("n", F.size("item")), "items")
+    marked = fingerprints(parts.select("item_id", "from", F.explode("item").alias("x")), ["item_id", "from"])
+    parts = kept(parts.join(marked.withColumnRenamed("fp", "item_fp"), ["item_id", "from"]), "items")
 
     # Where a document has a shingle of an item, windows of the item's length around it are looked at.
-    wanted = kept(parts.select(F.explode("item").alias("shingle"), "n").distinct(), "shingles")
+    wanted = kept(parts.select(F.explode("item").alias("x"), "n").distinct(), "shingles")
     if wanted.count() <= BROADCAST_ROWS:  # at most some 30 MB; else the join shuffles
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    seen = texts.select("doc_id", F.posexplode(shingles(F.col("text"))).alias("at", "shingle")).join(wanted, "shingle")
+    split = texts.select("doc_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= WORDS)
+    places = split.select("doc_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("at"))
+    seen = places.select("doc_id", "at", shingle(F.col("words"), F.col("at")).alias("x")).join(wanted, "x")
     run = F.explode(F.sequence(F.floor(F.greatest(F.lit(0), F.col("at") - F.col("n") + 1) / RUN), F.floor(F.col("at") / RUN)))
     runs = kept(seen.select("doc_id", "n", run.alias("run")).distinct(), "runs")
 
-    asked = runs.groupBy("doc_id").agg(F.collect_set(F.struct("n", "run")).alias("asked"))
-    held = texts.join(asked, "doc_id").select("doc_id", F.xxhash64("text").alias("of"), "asked", shingles(F.col("text")).alias("all"))
-    held = held.select("doc_id", "of", "all", F.explode("asked").alias("a")).select("doc_id", "of", "a.n", "a.run", "all")
-    held = held.withColumn("part", F.slice("all", (F.col("run") * RUN + 1).cast("int"), F.col("n") + (RUN - 1))).drop("all")
-    held = kept(held.filter(F.size("part") >= F.col("n")), "windows")
-
-    starts = F.sequence(F.lit(1), F.size("part") - F.col("n") + 1)
-    windows = held.select("doc_id", "of", "n", "run", F.posexplode(F.transform(starts, lambda p: fingerprint(F.slice("part", p, F.col("n"))))).alias("place", "fp"))
-    keyed = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select("doc_id", "of", "n", "run", "place", "fp", "b.block", "b.bits")
-    index = parts.select("item_id", "n", "item_fp", F.explode(blocks(F.col("item_fp"))).alias("b"))
-    index = index.select("item_id", "n", "item_fp", "b.block", F.explode(F.transform(F.lit(changes(radius)), lambda c: F.col("b.bits").bitwiseXOR(c))).alias("bits"))
+    key = ["doc_id", "of", "n", "run"]
+    held = texts.join(runs, "doc_id").select(F.xxhash64("text").alias("of"), "doc_id", "n", "run", words_of(F.col("text")).alias("words"))
+    most = F.least(F.col("run") * RUN + F.col("n") + (RUN - 2), (F.size("words") - WORDS).cast("bigint"))
+    part = F.transform(F.sequence(F.col("run") * RUN, most), lambda i: shingle(F.col("words"), i))
+    held = held.filter(most >= F.col("run") * RUN + F.col("n") - 1).select(*key, part.alias("part"))
+    held = kept(held.dropDuplicates(key), "windows")
+
+    windows = held.select(*key, "part", F.explode(F.sequence(F.lit(0), F.size("part") - F.col("n"))).alias("place"))
+    windows = fingerprints(windows.select(*key, "place", F.explode(F.slice("part", F.col("place") + 1, F.col("n"))).alias("x")), [*key, "place"])
+    keyed = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select(*key, "place", "fp", "b.block", "b.bits")
+    index = parts.select("item_id", "from", "n", "item_fp", F.explode(blocks(F.col("item_fp"))).alias("b"))
+    index = index.select("item_id", "from", "n", "item_fp", "b.block", F.explode(F.transform(F.lit(changes(radius)), lambda c: F.col("b.bits").bitwiseXOR(c))).alias("bits"))
     near = keyed.join(index, ["n", "block", "bits"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-    near = near.select("doc_id", "of", "n", "run", "place", "item_id", "item_fp").distinct()
+    near = near.select(*key, "place", "item_id", "from").distinct()
 
-    pairs = near.join(held, ["doc_id", "of", "n", "run"]).join(parts.select("item_id", "n", "item_fp", "item"), ["item_id", "n", "item_fp"])
+    pairs = near.join(held, key).join(parts.select("item_id", "from", "item"), ["item_id", "from"])
     window = F.array_distinct(F.slice("part", F.col("place") + 1, F.col("n")))
     shared = weight(F.array_intersect(window, F.col("item")))
     alike = shared / (weight(window) + weight(F.array_distinct("item")) - shared)

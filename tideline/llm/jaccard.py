@@ -280,14 +280,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     # Groups that still span components. Similar members share two signatures, both of such groups.
     label = F.coalesce("component", "node")
     placed = members.select("signature", "node").distinct().join(found, "node", "left").select("signature", "node", label.alias("component"))
-    open_groups = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    open_rows = placed.join(open_groups.select("signature"), "signature")
-    several = open_rows.groupBy("node", "component").agg(F.sort_array(F.collect_set("signature")).alias("signs")).filter(F.size("signs") > 1)
-    twos = several.select("node", "component", F.posexplode("signs").alias("at", "one"), "signs")
-    twos = twos.select("node", "component", "one", F.explode(F.slice("signs", F.col("at") + 2, F.size("signs"))).alias("two"))
-    twos = kept(spark, twos, "twos")
-    left, right = (twos.select("one", "two", F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("a", "b"))
-    cross = left.join(right, ["one", "two"]).filter("of_a < of_b").select("a", "b").distinct()
+    placed = kept(spark, placed, "placed")
+    groups = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    open_rows = placed.join(groups.filter("low <> high").select("signature", "size"), "signature")
+    # Two nodes that share two signatures still share one if each leaves out the last of its own, in one order for all.
+    # The largest groups go last: a passage that many documents share gives most of them one signature each.
+    last = Window.partitionBy("node").orderBy(F.desc("size"), "signature")
+    open_rows = kept(spark, open_rows.withColumn("at", F.row_number().over(last)).filter("at > 1").drop("at", "size"), "open")
+    left, right = (open_rows.select("signature", F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("a", "b"))
+    cross = left.join(right, "signature").filter("of_a < of_b").select("a", "b").distinct()
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
     cross = kept(spark, cross, "pairs")
     more = compare(cross, docs, words, percent)
