@@ -35,7 +35,12 @@ _LANES = 0x0001000100010001
 
 
 def words_of(text: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def places_of(words: Column) -> Column:
+    """First words of all shingles, from 0; null if there are none."""
+    return F.when(F.size(words) >= WORDS, F.sequence(F.lit(0), F.size(words) - WORDS))
 
 
 def shingle(words: Column, at: Column) -> Column:
@@ -106,8 +111,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     if wanted.count() <= BROADCAST_ROWS:  # at most some 30 MB; else the join shuffles
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    split = texts.select("doc_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= WORDS)
-    places = split.select("doc_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("at"))
+    split = texts.select("doc_id", words_of(F.col("text")).alias("words"))
+    places = split.select("doc_id", "words", F.explode(places_of(F.col("words"))).alias("at"))
     seen = places.select("doc_id", "at", shingle(F.col("words"), F.col("at")).alias("x")).join(wanted, "x")
     run = F.explode(F.sequence(F.floor(F.greatest(F.lit(0), F.col("at") - F.col("n") + 1) / RUN), F.floor(F.col("at") / RUN)))
     runs = kept(seen.select("doc_id", "n", run.alias("run")).distinct(), "runs")

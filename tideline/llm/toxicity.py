@@ -315,7 +315,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
     weights, bias = fit_machine(x @ root, y)
     slope, shift = fit_probability(x @ root @ weights + bias, y)
-    if __import__("os").environ.get("DBG"): print(landmarks, flush=True)
     return ToxicityModel(uuid.uuid4().hex, landmarks, root @ weights, bias, slope, shift)
 
 
