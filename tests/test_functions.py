@@ -103,6 +103,14 @@ def test_plain_decimal(evaluate):
     assert evaluate(values, "string", tx.plain_decimal("v", divide=True)) == by_wei
 
 
+def test_plain_decimal_of_bad_long_and_exponent_texts(evaluate):
+    values = ["0x12zz", "0xgg", "0x", "x", "", "1E3", "1.5e-3", "+7", "007", ".5", "5.", "-0.50", "0x" + "f" * 5000, "9" * 5000, "0x" + "g" * 20]
+    want = [None] * 5 + ["1000", "0.0015", "7", "7", "0.5", "5", "-0.50", None, "9" * 5000, None]
+    got = evaluate(values, "string", tx.plain_decimal("v"))
+    assert got[12] is not None and len(got[12]) == 6021
+    assert [g for k, g in enumerate(got) if k != 12] == [w for k, w in enumerate(want) if k != 12]
+
+
 def test_hex_chunks(evaluate):
     one, two = "a" * 64, "b" * 64
     values = ["0x" + one + two, "0x" + one + "cc", "0x", "", None]

@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.functions import time as tm
 from tideline.operators import cdc, joins, logs, metrics, moderation, routing
 from tideline.operators.dedup import distinct_rows, first_per_key, latest_per_key, retract_versions
 from tideline.operators.dims import flat_dictionary, row_count, scan
@@ -16,7 +17,9 @@ from tideline.operators.reshape import pivot, unpivot
 from tideline.operators.scoring import DEFAULT_BRAND, brand_weight_lookup, weight_lookup
 from tideline.operators.visitors import login_days, repair_visitor_flag
 from tideline.session import scratch, scratch_root
-from tideline.sinks.writers import compact, exists, read_snapshot, upsert_batch, write_by_day, write_csv
+from tideline.sinks.writers import (
+    batch_writer, compact, day_writer, destination_writer, exists, read_snapshot, upsert_batch, write_by_day, write_csv,
+)
 
 BASE = datetime(2024, 1, 1)
 
@@ -180,33 +183,40 @@ def test_last_token(spark):
     assert [r[0] for r in df.select(moderation.last_token("t")).collect()] == ["b", "b", "", "", "a", " b", "\n", None]
 
 
-def test_moderation_both_ways(spark):
+def test_moderation(spark):
     rng = random.Random(5)
     letters = lambda n: "".join(rng.choice("abc ") for _ in range(n))
-    comments = spark.createDataFrame([(i, letters(rng.randrange(40))) for i in range(60)] + [(100, None), (101, ""), (102, "ok,abc"), (103, "x,abc,")], "id int, t string")
-    listed = ["abc", "aa", "bcb", "c a", "abc", "cab"]
-    words = spark.createDataFrame([(w,) for w in listed], "word string")
-    worker = moderation.moderate(comments, words, words, "t", "id")
-    shuffled = moderation.moderate(comments, words, words, "t", "id", worker_words=1)
-    columns = ["id", "is_violation", "violation_grade", "violation_msg"]
-    assert bag(worker, columns) == bag(shuffled, columns)
-    for r in worker.collect():
-        text = r.t or ""
-        token = text.rstrip(",").rsplit(",", 1)[-1]
-        found = sorted({w for w in listed if w in text}, key=lambda w: (text.find(w), w))
-        if token in listed:
-            assert (r.is_violation, r.violation_grade, r.violation_msg) == (1, "P0", token)
-        else:
-            assert (r.is_violation, r.violation_grade, r.violation_msg) == (0, "P1" if found else "", ", ".join(found))
+    rows = [(i // 2 if i % 9 else None, letters(rng.randrange(40))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "ok,abc"), (103, "x,abc,"), (104, "bb bb"), (104, "bb bb")]
+    comments = spark.createDataFrame(rows, "id int, t string")
+    for listed in (["abc", "aa", "bcb", "c a", "abc", "cab"], ["a", "bb", "abcab", "b", "abcabcabcabc"], []):
+        words = spark.createDataFrame([(w,) for w in listed], "word string")
+        checked = moderation.moderate(comments, words, words, "t").collect()
+        assert len(checked) == len(rows)
+        for r in checked:
+            text = r.t or ""
+            token = text.rstrip(",").rsplit(",", 1)[-1]
+            found = sorted({w for w in listed if w in text}, key=lambda w: (text.find(w), w))
+            if token in listed:
+                assert (r.is_violation, r.violation_grade, r.violation_msg) == (1, "P0", token)
+            else:
+                assert (r.is_violation, r.violation_grade, r.violation_msg) == (0, "P1" if found else "", ", ".join(found))
+
+
+def test_contained_words_of_rows_without_ids(spark):
+    docs = spark.createDataFrame([(1, "alpha beta"), (1, "gamma"), (None, "beta")], "id int, t string")
+    words = spark.createDataFrame([("alpha",), ("beta",), ("gamma",)], "word string")
+    found = moderation.contained_words(docs, words, "t", "found").collect()
+    assert sorted((r.t, r.found) for r in found) == [("alpha beta", ["alpha", "beta"]), ("beta", ["beta"]), ("gamma", ["gamma"])]
 
 
 def test_inject_words(spark):
-    docs = spark.range(2000).select(F.col("id"), F.lit("text").alias("t"))
-    words = spark.createDataFrame([(f"w{i}",) for i in range(30)], "word string")
+    docs = spark.range(20000).select(F.col("id"), F.lit("text").alias("t"))
+    words = spark.createDataFrame([(f"w{i}",) for i in range(300)], "word string")
     out = moderation.inject_words(docs, words, "id", "t")
     changed = out.filter("t <> 'text'")
-    assert out.count() == 2000 and 300 < changed.count() < 500
-    assert {r.t for r in changed.collect()} <= {f"text,w{i}" for i in range(30)}
+    assert out.count() == 20000 and 3600 < changed.count() < 4400
+    assert {r.t for r in changed.collect()} == {f"text,w{i}" for i in range(300)}
     assert bag(out) == bag(moderation.inject_words(docs, words, "id", "t"))
     assert moderation.inject_words(docs, words.limit(0), "id", "t").filter("t <> 'text'").count() == 0
 
@@ -259,6 +269,89 @@ def test_snapshot_skips_empty_and_compacts(spark, tmp_path):
     assert exists(spark, path)
 
 
+def test_compacted_target_keeps_deletes_and_batch_order(spark, tmp_path):
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, n int, op string")
+    path, target, later = str(tmp_path / "t"), str(tmp_path / "c"), str(tmp_path / "l")
+    gone = F.col("op") == "d"
+    upsert_batch(frame((1, 5, "u"), (2, 1, "u")), 0, path, ["id"], ["n"], gone)
+    upsert_batch(frame((1, 9, "d")), 1, path, ["id"], ["n"], gone)
+    compact(spark, path, target, ["id"], ["n"], 1)
+    upsert_batch(frame((1, 7, "u")), 2, target, ["id"], ["n"], gone)  # older than the delete
+    assert bag(read_snapshot(spark, target, ["id"], ["n"]).select("id", "n")) == Counter([(2, 1)])
+    for number, n in enumerate((9, 2)):
+        upsert_batch(frame((1, n, "u")), number, later, ["id"], ["n"], gone)
+    compact(spark, later, later + "2", ["id"], ["n"], 1, by_batch=True)
+    assert bag(read_snapshot(spark, later + "2", ["id"], ["n"], by_batch=True).select("id", "n")) == Counter([(1, 2)])
+
+
+def test_replayed_folder_batches_and_new_checkpoints(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "sink_table string, n int")
+    path = str(tmp_path / "k2")
+    for _ in range(2):
+        destination_writer(path)(rows, 0)
+    assert spark.read.parquet(path).count() == 2
+    days = str(tmp_path / "k7")
+    for _ in range(2):
+        day_writer(days, "ts")(spark.createDataFrame([('{"ts":1704067200}',)], "value string"), 0)
+    assert spark.read.text(days).count() == 1
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "k5")
+    rows.write.parquet(feed)
+    for checkpoint in ("one", "two", "two"):
+        stream = spark.readStream.schema(rows.schema).parquet(feed)
+        query = stream.writeStream.foreachBatch(batch_writer(out)).option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+        query.awaitTermination()
+    # Two checkpoints: both runs' batch 0 is kept; a restart of the second adds nothing.
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_numbers_beyond_timestamps(spark, tmp_path):
+    numbers = ["99999999999999999", "999999999999999999", "99999999999999999999", "-99999999999999999", "-1000", "1704067200000"]
+    got = spark.createDataFrame([(n,) for n in numbers], "n string").select(
+        tm.tolerant_timestamp("n").cast("string").alias("t"), tm.from_millis("n").isNull().alias("none")
+    ).collect()
+    assert [r.t for r in got] == [None, None, None, None, "1969-12-31 23:43:20", "2024-01-01 00:00:00"]
+    assert [r.none for r in got] == [True, True, True, True, False, False]
+    lines = spark.createDataFrame([(f'{{"ts":{n}}}',) for n in numbers], "value string")
+    write_by_day(lines, str(tmp_path / "d"), "ts")
+    days = {str(r.day): r.n for r in spark.read.text(str(tmp_path / "d")).groupBy("day").agg(F.count("*").alias("n")).collect()}
+    assert days == {"error_bucket": 4, "19691231": 1, "20240101": 1}
+
+
+def test_skew_join_fails_on_a_repeated_busy_key(spark):
+    left = spark.createDataFrame([(i % 300,) for i in range(600)], "k int")
+    right = spark.createDataFrame([(k % 300, k) for k in range(600)], "k int, v int")
+    with pytest.raises(Exception, match="repeats a key"):
+        joins.skew_join(left, right, ["k"], "inner").count()
+
+
+def test_blank_messages_are_dirty(spark):
+    messages = spark.createDataFrame([("",), ("  ",), (None,), ('{"op":"r"}',)], "value string")
+    good, dirty = cdc.split_dirty(cdc.parse_cdc(messages))
+    assert good.count() == 1 and sorted(r.value for r in dirty.collect()) == ["", "  "]
+
+
+def test_one_rule_for_each_table(spark):
+    texts = ['{"before":null,"after":{"id":"1","v":"x"},"source":{"table":"t"},"op":"c","ts_ms":1}']
+    changes = cdc.valid_changes(cdc.parse_cdc(spark.createDataFrame([(t,) for t in texts], "value string")))
+    rules = spark.createDataFrame([("t", "insert", "s1", "id"), ("t", "update", "s2", "id,v")], "source_table string, source_type string, sink_table string, sink_columns string")
+    matched, rest = routing.route(changes, rules)
+    assert [r.sink_table for r in matched.collect()] == ["s2"] and rest.count() == 0
+    matched, rest = routing.route(changes, rules, by_op=True)
+    assert [r.sink_table for r in matched.collect()] == ["s1"] and rest.count() == 0
+
+
+def test_rows_of_reads_inserts_and_updates(spark):
+    texts = [f'{{"after":{{"id":"{i}"}},"source":{{"table":"t"}},"op":"{op}","ts_ms":{i}}}' for i, op in enumerate("rcud")]
+    changes = cdc.parse_cdc(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert sorted(r.id for r in cdc.rows_of(changes, "t", ["id"]).collect()) == ["0", "1", "2"]
+    assert [r.id for r in cdc.rows_of(changes, "t", ["id"], cdc.SNAPSHOT).collect()] == ["0"]
+
+
+def test_labels_with_quotes(spark):
+    wide = spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
+    assert bag(unpivot(wide, ["k"], {"a": "it's", "b": "b"}, "n", "v")) == Counter([(1, "it's", 2), (1, "b", 3)])
+
+
 def test_text_files(spark, tmp_path):
     days = str(tmp_path / "d")
     lines = ['{"ts":1704067200}', '{"ts":1704067200000}', "not json", '{"ts":"late"}', '{"x":1}']

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column
@@ -52,23 +54,29 @@ def row_key(fields: Iterable[str | tuple[str, bool]], separator: str = "", whole
     return F.md5(key) if whole_md5 else key
 
 
+# Hexadecimal, or decimal with an exponent of at most four digits.
+NUMBER = r"^(0x[0-9a-fA-F]+|[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,4})?)$"
+PLAIN = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
+
+
 @F.pandas_udf(T.StringType())
-def _wide_hex(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else str(int(v, 16)))
+def _expanded(values: pd.Series) -> pd.Series:
+    sys.set_int_max_str_digits(0)  # numbers of any length
+    return values.map(lambda v: None if v is None else str(int(v, 16)) if v.startswith("0x") else format(Decimal(v), "f"))
 
 
 def plain_decimal(value: Column | str, divide: bool = False) -> Column:
-    """hex (0x...) or decimal text as plain decimal text, optionally divided by 10^18; null -> "0".
+    """hex (0x...) or decimal text of any length as plain decimal text, optionally divided by 10^18; null -> "0".
 
-    Up to 15 hex digits stay in the JVM; wider values use arbitrary-precision integers in an Arrow batch.
+    Text that is no number gives null. Text that is plain already stays as it is, all other goes through integers and
+    decimals of arbitrary precision in Arrow batches.
     """
     text = col(value).cast("string")
-    digits = F.when(text.startswith("0x"), F.substring(text, 3, 1 << 20))
-    narrow = F.when(F.length(digits) <= 15, F.conv(digits, 16, 10))
-    wide = _wide_hex(F.when(F.length(digits) > 15, digits))
-    whole = F.coalesce(narrow, wide, text)
+    number = F.when(text.rlike(NUMBER), text)
+    whole = F.when(number.rlike(PLAIN), number).otherwise(_expanded(F.when(~number.rlike(PLAIN), number)))
+    bad = text.isNotNull() & whole.isNull()
     if not divide:
-        return F.coalesce(whole, F.lit("0"))
+        return F.when(~bad, F.coalesce(whole, F.lit("0")))
     sign = F.when(whole.startswith("-"), "-").otherwise("")
     magnitude = F.regexp_replace(whole, "^[-+]", "")
     units = F.split_part(magnitude, F.lit("."), F.lit(1))
@@ -77,9 +85,8 @@ def plain_decimal(value: Column | str, divide: bool = False) -> Column:
     cut = F.length(padded) - 18
     fraction = F.rtrim(F.concat(padded.substr(cut + 1, F.lit(18)), tail), F.lit("0"))
     head = F.regexp_replace(padded.substr(F.lit(1), cut), "^0+(?=[0-9])", "")
-    return F.coalesce(
-        F.concat(sign, head, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise("")), F.lit("0")
-    )
+    divided = F.concat(sign, head, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""))
+    return F.when(~bad, F.coalesce(divided, F.lit("0")))
 
 
 def hex_chunks(payload: Column | str, width: int = 64) -> Column:

@@ -17,8 +17,22 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Largest epoch milliseconds that a timestamp (64-bit microseconds) holds.
+MAX_MILLIS = (1 << 63) // 1000 - 1
+# Numbers below this, with either sign, are seconds; others are milliseconds.
+SECONDS_BELOW = 10_000_000_000
+
+
 def from_millis(ms: Column | str) -> Column:
-    return F.timestamp_millis(col(ms).try_cast("bigint"))
+    """Null where the number is none or beyond what a timestamp holds."""
+    number = col(ms).try_cast("bigint")
+    return F.timestamp_millis(F.when(number.between(-MAX_MILLIS, MAX_MILLIS), number))
+
+
+def from_epoch(number: Column) -> Column:
+    """Seconds or milliseconds, by their size."""
+    seconds = number.between(1 - SECONDS_BELOW, SECONDS_BELOW - 1)
+    return from_millis(F.when(seconds, number * 1000).otherwise(number))
 
 
 def to_millis(ts: Column | str) -> Column:
@@ -36,11 +50,10 @@ def text_millis(text: Column | str, pattern: str = DATE_TIME) -> Column:
 
 
 def tolerant_timestamp(value: Column | str) -> Column:
-    """Epoch milliseconds or date text as a timestamp (Q12); values below 10^10 are seconds."""
+    """Epoch milliseconds or date text as a timestamp (Q12); values below 10^10, with either sign, are seconds."""
     text = F.trim(col(value).cast("string"))
     number = F.when(text.rlike("^-?[0-9]+$"), text.try_cast("bigint"))
-    millis = F.when(F.abs(number) < 10_000_000_000, number * 1000).otherwise(number)
-    return F.coalesce(F.timestamp_millis(millis), F.try_to_timestamp(text))
+    return F.coalesce(from_epoch(number), F.try_to_timestamp(text))
 
 
 def day_text(value: Column | str, pattern: str = DATE) -> Column:

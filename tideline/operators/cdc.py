@@ -9,17 +9,21 @@ from pyspark.sql import types as T
 from tideline.schemas import CDC, CDC_COLUMNS, CORRUPT
 
 SNAPSHOT = ("r",)
+# Changes whose ``after`` is what the row holds from then on.
+ROW_IMAGES = ("r", "c", "u")
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: list[str] = ()) -> DataFrame:
-    """S3: typed columns of a JSON text column; unreadable text is kept in ``_corrupt_record``.
+    """S3: typed columns of a JSON text column; unreadable text, blank text too, is kept in ``_corrupt_record``.
 
     The parsed row is unpacked by a generator: filters on its columns stay above it, so each text is parsed
     once however many of its fields are tested.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(value, full, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    return df.filter(F.col(value).isNotNull()).select(*keep, F.inline(F.array(parsed)))
+    blank = F.from_json(F.lit("{}"), full).withField(CORRUPT, F.col(value))
+    row = F.when(F.col(value).rlike(r"\S"), parsed).otherwise(blank)
+    return df.filter(F.col(value).isNotNull()).select(*keep, F.inline(F.array(row)))
 
 
 def parse_cdc(df: DataFrame, value: str = "value", keep: list[str] = ()) -> DataFrame:
@@ -47,9 +51,9 @@ def of_table(changes: DataFrame, table: str, ops: tuple[str, ...] | None = None)
 
 
 def rows_of(
-    changes: DataFrame, table: str, columns: list[str] | None = None, ops: tuple[str, ...] = SNAPSHOT
+    changes: DataFrame, table: str, columns: list[str] | None = None, ops: tuple[str, ...] = ROW_IMAGES
 ) -> DataFrame:
-    """P5: the named ``after`` fields of one table, with ``ts_ms``."""
+    """P5: the named ``after`` fields of one table, with ``ts_ms``; ``ops=SNAPSHOT`` reads the first load only."""
     names = columns or CDC_COLUMNS[table]
     return of_table(changes, table, ops).select(*[F.col("after")[c].alias(c) for c in names], "ts_ms")
 

@@ -47,25 +47,21 @@ def skew_join(
 
     ``weight`` names a column of ``right`` with the number of left rows per key; without it they are counted.
     The HOT_KEYS busiest keys are joined from a broadcast of at most HOT_KEYS rows; their left rows are
-    spread over salts in the shuffle of the remaining join, where they match nothing; so are null keys.
+    spread over salts in the shuffle of the remaining join, where they match nothing; so are null keys. A busy key that
+    ``right`` repeats fails the job.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
     if left.isStreaming:
         return left.join(right.drop(weight) if weight else right, on, how)
-    if weight is None:
-        busy = left.groupBy(*on).agg(F.count("*").alias("_rows")).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
-        packed = right.select(*on, F.struct(*[F.col(c) for c in right.columns]).alias("_side"))
-        hot = packed.join(F.broadcast(busy.select(*on)), on, "left_semi").limit(HOT_KEYS)
-        values = [c for c in right.columns if c not in on]
-    else:
-        values = [c for c in right.columns if c not in on and c != weight]
-        # Both uses below read the same columns of the same rows, so the aggregate behind them runs once.
-        packed = right.filter(_present(on)).select(
-            *on, weight, F.struct(*[F.col(c) for c in right.columns]).alias("_side")
-        )
-        hot = packed.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
-    hot = hot.select(*on, F.col("_side").alias("_hot"))
+    values = [c for c in right.columns if c not in on and c != weight]
+    packed = right.filter(_present(on)).select(
+        *on, *([weight] if weight else []), F.struct(*[F.col(c) for c in right.columns]).alias("_side")
+    )
+    rows = left.groupBy(*on).agg(F.count("*").alias("_rows")) if weight is None else packed.groupBy(*on).agg(F.max(weight).alias("_rows"))
+    busy = rows.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS).select(*on)
+    once = F.when(F.count("*") == 1, F.first("_side")).otherwise(F.raise_error(F.lit("the right side of a skew_join repeats a key")))
+    hot = packed.join(F.broadcast(busy), on, "left_semi").groupBy(*on).agg(once.alias("_hot"))
     columns = left.columns
     marked = left.join(F.broadcast(hot), on, "left")
     apart = F.col("_hot").isNotNull() | ~_present(on)

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.joins import interval_join, membership
 
-# Word lists up to this size travel to the workers whole; larger ones are joined by shuffle.
-WORKER_WORDS = 20_000
+# Places of a text are first held against the words' beginnings of at most so many characters.
+HEAD = 4
 
 
 def comments_with_orders(comments: DataFrame, orders: DataFrame, comment_ts: str, order_ts: str) -> DataFrame:
@@ -42,76 +40,35 @@ def check_last_token(comments: DataFrame, words: DataFrame, text: str, word: str
     )
 
 
-def _worker_matcher(spark, words: list[str]):
-    shared = spark.sparkContext.broadcast(sorted(set(words)))
+def contained_words(df: DataFrame, words: DataFrame, text: str, out: str, word: str = "word") -> DataFrame:
+    """all listed words inside a text, ordered by first position, then by word; null and empty texts have none.
 
-    @F.pandas_udf("array<string>")
-    def contained(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        listed = shared.value  # the matcher is built once per task
-        try:
-            import ahocorasick
-
-            automaton = ahocorasick.Automaton()
-            for w in listed:
-                automaton.add_word(w, w)
-            automaton.make_automaton()
-            found = lambda t: ((end - len(w) + 1, w) for end, w in automaton.iter(t))
-        except ImportError:
-            found = lambda t: ((t.find(w), w) for w in listed if w in t)
-
-        def ordered(text: str | None) -> list[str]:
-            if not text or not listed:
-                return []
-            first: dict[str, int] = {}
-            for at, w in found(text):
-                first[w] = min(at, first.get(w, at))
-            return [w for w, _ in sorted(first.items(), key=lambda x: (x[1], x[0]))]
-
-        for texts in batches:
-            yield texts.map(ordered)
-
-    return contained
-
-
-def _shuffle_matches(df: DataFrame, words: DataFrame, word: str, text: str, row_id: str) -> DataFrame:
-    """Words per row for lists of any size: every text position meets the words that start like it."""
+    Every place of a text meets the beginnings of the words; where one stands, the pieces as long as the words that begin
+    so are looked up. Both look-ups are equal joins, which Catalyst broadcasts where the list is small. What a text holds
+    depends on nothing but the text, so results go back to the rows by its digest: rows need no key, may repeat, and
+    busy texts are split by AQE.
+    """
     listed = words.select(F.col(word).alias("_w")).filter(F.length("_w") > 0).distinct()
-    size = listed.agg(F.min(F.length("_w")).alias("lo"), F.max(F.length("_w")).alias("hi")).first()
-    places = df.select(row_id, F.col(text).alias("_t")).filter(F.length("_t") >= size.lo)
-    positions = F.sequence(F.lit(1), F.length("_t") - size.lo + 1)
-    grams = places.select(row_id, "_t", F.explode(positions).alias("_at")).select(
-        row_id, "_at", F.substring("_t", F.col("_at"), F.lit(size.hi)).alias("_piece")
-    ).withColumn("_head", F.left("_piece", F.lit(size.lo)))
-    hits = grams.join(listed.withColumn("_head", F.left("_w", F.lit(size.lo))), "_head").filter(
-        F.startswith("_piece", F.col("_w"))
-    )
-    firsts = hits.groupBy(row_id, "_w").agg(F.min("_at").alias("_at"))
-    return firsts.groupBy(row_id).agg(
+    heads = listed.groupBy(F.left("_w", F.lit(HEAD)).alias("_head")).agg(F.collect_set(F.length("_w")).alias("_sizes"))
+    longest = listed.agg(F.max(F.length("_w"))).scalar()
+    key = F.sha2(F.col(text), 256)
+    texts = df.select(key.alias("_key"), F.col(text).alias("_t")).filter(F.length("_t") > 0)
+    places = texts.select("_key", "_t", F.explode(F.sequence(F.lit(1), F.length("_t"))).alias("_at"))
+    pieces = places.select("_key", "_at", F.substring("_t", F.col("_at"), longest).alias("_piece"))
+    # Whole words shorter than HEAD are their own beginnings. Near the end of a text there are fewer.
+    begins = F.array_distinct(F.transform(F.lit(list(range(1, HEAD + 1))), lambda n: F.left("_piece", n)))
+    begun = pieces.select("_key", "_at", "_piece", F.explode(begins).alias("_head")).join(heads, "_head")
+    whole = begun.select("_key", "_at", F.explode("_sizes").alias("_n"), "_piece").select("_key", "_at", F.left("_piece", F.col("_n")).alias("_w"))
+    firsts = whole.join(listed, "_w").groupBy("_key", "_w").agg(F.min("_at").alias("_at"))
+    found = firsts.groupBy("_key").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_at", "_w"))), lambda x: x["_w"]).alias("_words")
     )
-
-
-def contained_words(
-    df: DataFrame, words: DataFrame, text: str, row_id: str, out: str, word: str = "word",
-    worker_words: int = WORKER_WORDS,
-) -> DataFrame:
-    """All listed words inside a text, ordered by first position.
-
-    The list is read up to ``worker_words + 1`` words: within the bound each Arrow batch is matched in one
-    pass over the text; beyond it the match becomes a distributed join (``row_id`` is then the join key).
-    """
-    listed = words.select(word).filter(F.length(word) > 0).distinct().limit(worker_words + 1)
-    known = [r[0] for r in listed.collect()]
-    if len(known) <= worker_words:
-        return df.withColumn(out, _worker_matcher(df.sparkSession, known)(F.col(text)))
-    found = _shuffle_matches(df, words, word, text, row_id)
-    joined = df.join(found, row_id, "left")
-    return joined.withColumn(out, F.coalesce("_words", F.array().cast("array<string>"))).drop("_words")
+    joined = df.withColumn("_key", key).join(found, "_key", "left")
+    return joined.withColumn(out, F.coalesce("_words", F.array().cast("array<string>"))).drop("_words", "_key")
 
 
 def moderate(
-    comments: DataFrame, token_words: DataFrame, text_words: DataFrame, text: str, row_id: str, word: str = "word",
-    worker_words: int = WORKER_WORDS,
+    comments: DataFrame, token_words: DataFrame, text_words: DataFrame, text: str, word: str = "word"
 ) -> DataFrame:
     """F19 then F20: rows that pass the token check get grade P1 when a listed word is inside the text.
 
@@ -119,7 +76,7 @@ def moderate(
     """
     first = check_last_token(comments, token_words, text, word)
     probe = first.withColumn("_probe", F.when(F.col("is_violation") == 0, F.col(text)))
-    second = contained_words(probe, text_words, "_probe", row_id, "_found", word, worker_words)
+    second = contained_words(probe, text_words, "_probe", "_found", word)
     p1 = (F.col("is_violation") == 0) & (F.size("_found") > 0)
     return (
         second.withColumn("violation_msg", F.when(p1, F.array_join("_found", ", ")).otherwise(F.col("violation_msg")))
@@ -136,19 +93,20 @@ def _hash_number(text: Column | str, start: int = 1) -> Column:
 def inject_words(df: DataFrame, words: DataFrame, row_id: str, text: str, percent: int = 20, word: str = "word") -> DataFrame:
     """a fixed share of comments gets a word of the list appended, both chosen by md5 of the row id.
 
-    Words are spread over a quarter as many slots as there are words; a comment takes the first word of its
-    slot, or the first word of all when the slot is empty. Only the word count and that word reach the driver.
+    Words are spread over a quarter as many slots as there are words; a comment takes one of its slot's words, or the
+    first word of all when the slot is empty. Only the word count and that word reach the driver.
     """
     listed = words.select(F.col(word).alias("_word")).distinct()
     total, first = listed.agg(F.count("*"), F.min("_word")).first()
     if not total:
         return df
     slots = max(1, total // 4)
-    filled = listed.groupBy((_hash_number("_word") % slots).alias("_slot_no")).agg(F.min("_word").alias("_word"))
+    filled = listed.groupBy((_hash_number("_word") % slots).alias("_slot_no")).agg(F.sort_array(F.collect_list("_word")).alias("_words"))
     row = F.col(row_id).cast("string")
     chosen = _hash_number(row) % 100 < percent
     # Comments that get no word keep distinct negative slots, so they do not meet in one task.
     slot = F.when(chosen, _hash_number(row, 8) % slots).otherwise(-1 - _hash_number(row, 8))
     joined = df.withColumn("_slot_no", slot).join(filled, "_slot_no", "left")
-    added = F.when(F.col("_slot_no") >= 0, F.coalesce("_word", F.lit(first)))
+    picked = F.get("_words", (_hash_number(row, 15) % F.size("_words")).cast("int"))
+    added = F.when(F.col("_slot_no") >= 0, F.coalesce(picked, F.lit(first)))
     return joined.withColumn(text, F.concat_ws(",", text, added)).select(*df.columns)

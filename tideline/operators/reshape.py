@@ -21,6 +21,6 @@ def pivot(df: DataFrame, keys: list[str], on: str, values: dict[object, str], ag
 
 def unpivot(df: DataFrame, keys: list[str], labels: dict[str, str], name: str, value: str, drop_nulls: bool = True) -> DataFrame:
     """Wide columns as (label, value) rows with literal labels; null values give no row."""
-    pairs = ", ".join(f"'{label}', `{column}`" for column, label in labels.items())
-    rows = df.select(*keys, F.expr(f"stack({len(labels)}, {pairs}) as (`{name}`, `{value}`)"))
+    pairs = [x for column, label in labels.items() for x in (F.lit(label), F.col(f"`{column}`"))]
+    rows = df.select(*keys, F.stack(F.lit(len(labels)), *pairs).alias(name, value))
     return rows.filter(F.col(value).isNotNull()) if drop_nulls else rows

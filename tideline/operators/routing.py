@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tideline.operators.cdc import image, keep_fields
 from tideline.operators.dedup import latest_per_key
-from tideline.operators.joins import small_side
 
 # The change ops that a rule's source type stands for (Q8).
 SOURCE_TYPE_OPS = {"insert": ["c", "r"], "update": ["u"], "delete": ["d"]}
@@ -38,40 +37,52 @@ def router(
     write_rest: Callable[[DataFrame, int], None] | None = None, by_op: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """J9/J10 for ``foreachBatch``: rules are read anew for each micro-batch, so a changed rule applies from
-    the next batch on."""
+    the next batch on. Both outputs come from one pass over the batch and one reading of the rules."""
 
     def handle(changes: DataFrame, batch_id: int) -> None:
-        matched, rest = route(changes, read_rules(), by_op)
-        write(matched, batch_id)
-        if write_rest is not None:
-            write_rest(rest, batch_id)
+        tagged = with_rules(changes, read_rules(), by_op).persist()
+        try:
+            write(matched_rows(tagged), batch_id)
+            if write_rest is not None:
+                write_rest(unmatched_rows(tagged, changes.columns), batch_id)
+        finally:
+            tagged.unpersist()
 
     return handle
 
 
-def route(changes: DataFrame, rules: DataFrame, by_op: bool = False) -> tuple[DataFrame, DataFrame]:
-    """J9 (by table) / J10 (by table and op): matched rows with their sink and pruned columns; unmatched rows.
+def with_rules(changes: DataFrame, rules: DataFrame, by_op: bool = False) -> DataFrame:
+    """Changes with the rule of their table (and op) in ``_rule``, null where there is none.
 
-    The rule table is counted before it is broadcast.
+    A table has one rule (with ``by_op`` one for each op): of several, the last by sink and columns. Catalyst broadcasts
+    the rules where their size allows.
     """
     side = with_ops(rules) if by_op else rules
-    side = small_side(
-        side.select(
-            F.col("source_table").alias("_table"),
-            *([F.col("rule_op").alias("_rule_op")] if by_op else []),
-            "sink_table",
-            F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("_columns"),
-        )
+    on = ["_table", *(["_rule_op"] if by_op else [])]
+    side = side.select(
+        F.col("source_table").alias("_table"),
+        *([F.col("rule_op").alias("_rule_op")] if by_op else []),
+        F.struct("sink_table", F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("columns")).alias("_rule"),
     )
-    on = F.col("source")["table"] == F.col("_table")
+    side = side.filter(F.col("_table").isNotNull()).groupBy(*on).agg(F.max("_rule").alias("_rule"))
+    match = F.col("source")["table"] == F.col("_table")
     if by_op:
-        on = on & (F.col("op") == F.col("_rule_op"))
-    joined = changes.withColumn("_row", image()).join(side, on, "left")
-    matched = joined.filter(F.col("_table").isNotNull()).select(
-        "sink_table",
-        F.col("source")["table"].alias("source_table"),
-        "op",
-        keep_fields("_row", F.col("_columns")).alias("data"),
-        "ts_ms",
+        match = match & (F.col("op") == F.col("_rule_op"))
+    return changes.withColumn("_row", image()).join(side, match, "left").drop(*on)
+
+
+def matched_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.filter(F.col("_rule").isNotNull()).select(
+        "_rule.sink_table", F.col("source")["table"].alias("source_table"), "op",
+        keep_fields("_row", F.col("_rule.columns")).alias("data"), "ts_ms",
     )
-    return matched, joined.filter(F.col("_table").isNull()).select(*changes.columns)
+
+
+def unmatched_rows(tagged: DataFrame, columns: list[str]) -> DataFrame:
+    return tagged.filter(F.col("_rule").isNull()).select(*columns)
+
+
+def route(changes: DataFrame, rules: DataFrame, by_op: bool = False) -> tuple[DataFrame, DataFrame]:
+    """J9 (by table) / J10 (by table and op): matched rows with their sink and pruned columns; unmatched rows."""
+    tagged = with_rules(changes, rules, by_op)
+    return matched_rows(tagged), unmatched_rows(tagged, changes.columns)

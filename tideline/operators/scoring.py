@@ -70,7 +70,7 @@ def scores_by_label(
 ) -> Column:
     """Score vector of a label; the weight table is part of the expression, so nothing is joined."""
     value = col(label)
-    table = F.expr("map(" + ", ".join(f"'{k}', {_scores_sql(w, rate)}" for k, w in weights.items()) + ")")
+    table = F.create_map(*[x for k, w in weights.items() for x in (F.lit(k), F.expr(_scores_sql(w, rate)))])
     found = F.element_at(table, value)
     if default is None:
         return found

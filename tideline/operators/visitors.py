@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from tideline.operators.joins import skew_join
 
 RETURN_DAYS = 8
+# Parts that the visits of one visitor are spread over on a stream, before its state sees one of each.
+STREAM_SALTS = 16
 
 
-def first_visits(df: DataFrame, keys: list[str], ts: str, carry: list[str] = (), salts: int = 0) -> DataFrame:
+def first_visits(df: DataFrame, keys: list[str], ts: str, carry: list[str] = (), salts: int = STREAM_SALTS) -> DataFrame:
     """T4: one row per key and day, the day's first visit, with the carried columns of that visit.
 
     Batch: an aggregate that combines before the shuffle. Streaming: keyed state of the days seen; with
@@ -40,6 +42,10 @@ def login_days(df: DataFrame, key: str, ts: str, return_days: int = RETURN_DAYS)
 
     The ordered pass runs over days, not events: its size per user is bounded by the days covered.
     """
+    if df.isStreaming:
+        from tideline.streaming.state import login_days_stream
+
+        return login_days_stream(df, key, ts, return_days)
     days = first_visits(df, [key], ts)
     previous = F.lag("visit_date").over(Window.partitionBy(key).orderBy("visit_date"))
     gap = F.datediff("visit_date", previous)

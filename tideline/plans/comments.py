@@ -17,10 +17,10 @@ def _hash_sql(text: str, start: int = 1) -> str:
 
 DOC = "CAST(doc_id AS VARCHAR)"
 INJECTED = f"""
-SELECT doc_id, CASE WHEN {_hash_sql(DOC)} % 100 < 20 THEN text || ',' || coalesce(s.word, (SELECT min(word) FROM words))
+SELECT doc_id, CASE WHEN {_hash_sql(DOC)} % 100 < 20 THEN text || ',' || coalesce(s.words[{_hash_sql(DOC, 15)} % len(s.words) + 1], (SELECT min(word) FROM words))
   ELSE text END AS text
 FROM documents LEFT JOIN (
-  SELECT {_hash_sql('word')} % n AS slot, min(word) AS word
+  SELECT {_hash_sql('word')} % n AS slot, list(word ORDER BY word) AS words
   FROM words, (SELECT greatest(1, count(*) // 4) AS n FROM words) GROUP BY ALL) s
   ON {_hash_sql(DOC, 8)} % (SELECT greatest(1, count(*) // 4) FROM words) = s.slot
 """
@@ -52,7 +52,7 @@ def inject_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def moderate_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = listed_words(spark, sf_dir)
-    checked = moderation.moderate(injected(spark, sf_dir), words, words, "text", "doc_id")
+    checked = moderation.moderate(injected(spark, sf_dir), words, words, "text")
     return checked.select("doc_id", F.col("text").alias("msg"), F.col("is_violation").cast("bigint").alias("is_violation"),
                           "violation_grade", "violation_msg")
 

@@ -110,18 +110,14 @@ LINE_ID = "l_orderkey || '-' || l_linenumber"
 
 # --- words ------------------------------------------------------------------------------------------
 
-MIN_LISTED = 6
-WORD_LIST = f"""
-SELECT DISTINCT w AS word FROM (
-  SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM benchmark)
-WHERE length(w) >= {MIN_LISTED}
+WORD_LIST = """
+SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word FROM benchmark
 """
 
 
 def listed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The moderation list: distinct longer words of benchmark."""
-    tokens = table(spark, sf_dir, "benchmark").select(F.explode(words("text")).alias("word"))
-    return tokens.filter(F.length("word") >= MIN_LISTED).distinct()
+    """The moderation list: distinct words of benchmark."""
+    return table(spark, sf_dir, "benchmark").select(F.explode(words("text")).alias("word")).distinct()
 
 
 # --- window helpers for the oracle ------------------------------------------------------------------

@@ -113,7 +113,7 @@ def sku_order_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_detail_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The position in the source file stands for the arrival position of a change stream.
     lines = table(spark, sf_dir, "lineitem").select(
-        "*", line_id().alias("id"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+        "*", line_id().alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     order = [*LINE_VERSION, "file", "row"]
     signed = retract_versions(lines, "id", order, ["l_quantity", "l_extendedprice"], "sign", ["file", "row"])
@@ -262,7 +262,7 @@ def priority_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
     return codes.filter(~F.col("o_orderpriority").startswith("3")).select(
         F.left("o_orderpriority", F.lit(1)).alias("dic_code"),
-        F.struct(F.substring("o_orderpriority", 3, 100).alias("dic_name")).alias("info"),
+        F.struct(F.substr("o_orderpriority", F.lit(3)).alias("dic_name")).alias("info"),
     )
 
 

@@ -1,7 +1,8 @@
 """Sinks (K1-K10).
 
 Streaming sinks run in ``foreachBatch`` and are safe to replay: a batch writes under its own id and
-replaces what an earlier attempt of the same batch left.
+replaces what an earlier attempt of the same batch left. Batch ids start at 0 again with a new checkpoint, so they
+stand below the id of the run, which a restart from the same checkpoint keeps.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.utils import AnalysisException
 
-from tideline.functions.time import COMPACT_DATE
+from tideline.functions.time import COMPACT_DATE, from_epoch
 from tideline.operators.dedup import latest_per_key
 from tideline.operators.metrics import preaggregated
 
@@ -56,23 +57,47 @@ def balanced(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
-def write_by_destination(frame: DataFrame, path: str, column: str = "sink_table", mode: str = "append") -> None:
-    """K2 on files: one folder per destination."""
-    balanced(frame, column).write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(path)
+def run_id(spark: SparkSession) -> str:
+    """Inside ``foreachBatch`` the id of the streaming query, which its checkpoint keeps; elsewhere ``batch``."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def _batch_folder(df: DataFrame, path: str, batch_id: int) -> str:
+    return f"{path}/run={run_id(df.sparkSession)}/batch_id={batch_id}"
+
+
+def write_by_destination(
+    frame: DataFrame, path: str, column: str = "sink_table", mode: str = "append", batch_id: int | None = None
+) -> None:
+    """K2 on files: one folder per destination; with ``batch_id`` below a folder that a replay replaces."""
+    target, mode = (path, mode) if batch_id is None else (_batch_folder(frame, path, batch_id), "overwrite")
+    balanced(frame, column).write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(target)
+
+
+def destination_writer(path: str, column: str = "sink_table") -> Callable[[DataFrame, int], None]:
+    """K2 for ``foreachBatch``."""
+    return lambda df, batch_id: write_by_destination(df, path, column, batch_id=batch_id)
 
 
 def day_bucket(value: Column | str, field: str) -> Column:
     """K7: yyyyMMdd of a seconds-or-milliseconds field of a JSON text, or the error bucket."""
     raw = F.get_json_object(value, f"$.{field}")
-    number = F.when(raw.rlike("^-?[0-9]{1,18}$"), raw.cast("bigint"))
-    millis = F.when(number < 10_000_000_000, number * 1000).otherwise(number)
-    return F.coalesce(F.date_format(F.timestamp_millis(millis), COMPACT_DATE), F.lit(ERROR_BUCKET))
+    number = F.when(raw.rlike("^-?[0-9]+$"), raw.try_cast("bigint"))
+    return F.coalesce(F.date_format(from_epoch(number), COMPACT_DATE), F.lit(ERROR_BUCKET))
 
 
-def write_by_day(df: DataFrame, path: str, field: str, value: str = "value", mode: str = "append") -> None:
-    """K7: text files in ``day=yyyyMMdd`` folders."""
+def write_by_day(
+    df: DataFrame, path: str, field: str, value: str = "value", mode: str = "append", batch_id: int | None = None
+) -> None:
+    """K7: text files in ``day=yyyyMMdd`` folders; with ``batch_id`` below a folder that a replay replaces."""
     rows = df.select(F.col(value).alias("value"), day_bucket(value, field).alias("day"))
-    balanced(rows, "day").write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(path)
+    target, mode = (path, mode) if batch_id is None else (_batch_folder(df, path, batch_id), "overwrite")
+    balanced(rows, "day").write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(target)
+
+
+def day_writer(path: str, field: str, value: str = "value") -> Callable[[DataFrame, int], None]:
+    """K7 for ``foreachBatch``."""
+    return lambda df, batch_id: write_by_day(df, path, field, value, batch_id=batch_id)
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists") -> None:
@@ -88,8 +113,8 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "errorifex
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """K5: rows of one micro-batch under their batch id; a replay replaces them."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """K5: rows of one micro-batch under their run and batch id; a replay replaces them."""
+    df.write.mode("overwrite").parquet(_batch_folder(df, path, batch_id))
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -108,10 +133,12 @@ def read_totals(spark: SparkSession, path: str, keys: list[str], names: list[str
 
 def land_by_table(changes: DataFrame, path: str, mode: str = "append") -> None:
     """Parsed change events in a folder per source table, so that one table is read by partition pruning."""
-    changes.withColumn("table", F.col("source")["table"]).write.mode(mode).partitionBy("table").parquet(path)
+    balanced(changes.withColumn("table", F.col("source")["table"]), "table").write.mode(mode).partitionBy("table").parquet(path)
 
 
 DELETED = "_deleted"
+# When a row came to the target: orders batches over runs. Only the last batch is ever replayed, so it stays last.
+WRITTEN = "_written"
 
 
 def upsert_batch(
@@ -127,7 +154,7 @@ def upsert_batch(
     if skip_empty:
         values = [c for c in df.columns if c not in (*keys, *order)]
         rows = rows.filter(F.col(DELETED) | F.coalesce(*[F.col(c).cast("string") for c in values]).isNotNull())
-    write_batch(latest_per_key(rows, keys, order), batch_id, path)
+    write_batch(latest_per_key(rows, keys, order).withColumn(WRITTEN, F.current_timestamp()), batch_id, path)
 
 
 def upserter(path: str, keys: list[str], order: list[str], deleted: Column | None = None, skip_empty: bool = False):
@@ -135,20 +162,29 @@ def upserter(path: str, keys: list[str], order: list[str], deleted: Column | Non
     return lambda df, batch_id: upsert_batch(df, batch_id, path, keys, order, deleted, skip_empty)
 
 
+def _newest(spark: SparkSession, path: str, keys: list[str], order: list[str], by_batch: bool) -> DataFrame:
+    """Newest row per key of a change log, delete marks included."""
+    came = [WRITTEN, "batch_id"]
+    ranking = [*came, *order] if by_batch else [*order, *came]
+    return latest_per_key(spark.read.parquet(path), keys, ranking).drop("run", "batch_id")
+
+
 def read_snapshot(spark: SparkSession, path: str, keys: list[str], order: list[str], by_batch: bool = False) -> DataFrame:
     """Current rows of an upsert target: newest per key over all batches, without deleted keys.
 
-    ``order`` decides across batches, the batch id breaks ties; with ``by_batch`` the later batch always wins.
+    ``order`` decides across batches, the later batch breaks ties; with ``by_batch`` the later batch always wins.
     """
-    log = spark.read.parquet(path)
-    ranking = ["batch_id", *order] if by_batch else [*order, "batch_id"]
-    return latest_per_key(log, keys, ranking).filter(~F.col(DELETED)).drop(DELETED, "batch_id")
+    return _newest(spark, path, keys, order, by_batch).filter(~F.col(DELETED)).drop(DELETED, WRITTEN)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str], batch_id: int) -> None:
-    """Write the snapshot as one batch of a new target, to which later batches can be appended."""
-    snapshot = read_snapshot(spark, path, keys, order).withColumn(DELETED, F.lit(False))
-    write_batch(snapshot, batch_id, target)
+def compact(
+    spark: SparkSession, path: str, target: str, keys: list[str], order: list[str], batch_id: int, by_batch: bool = False
+) -> None:
+    """The newest row of every key as one batch of a new target, to which later batches can be appended.
+
+    Deleted keys keep their marks, with their order, so that an older change that comes later doesn't bring them back.
+    """
+    write_batch(_newest(spark, path, keys, order, by_batch), batch_id, target)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

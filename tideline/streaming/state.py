@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tideline.operators.visitors import RETURN_DAYS, first_visits
+from tideline.operators.visitors import RETURN_DAYS, STREAM_SALTS, first_visits
 
 
 EPOCH = pd.Timestamp("1970-01-01").toordinal()
@@ -262,12 +262,13 @@ def first_visits_stream(df: DataFrame, keys: list[str], day: str, ts: str, keep_
 
 
 def repair_flag_stream(df: DataFrame, key: str, ts: str, flag: str) -> DataFrame:
-    """T5 in arrival order."""
+    """T5 in arrival order; rows without a key pass as they are, as in the batch form."""
     schema = _plain(df.schema)
-    return _event_time(df.filter(F.col(key).isNotNull()), key, _VisitorFlag(schema, ts, flag), schema, ts)
+    repaired = _event_time(df.filter(F.col(key).isNotNull()), key, _VisitorFlag(schema, ts, flag), schema, ts)
+    return repaired.unionByName(df.filter(F.col(key).isNull()))
 
 
-def login_days_stream(df: DataFrame, key: str, ts: str, return_days: int = RETURN_DAYS, salts: int = 0) -> DataFrame:
+def login_days_stream(df: DataFrame, key: str, ts: str, return_days: int = RETURN_DAYS, salts: int = STREAM_SALTS) -> DataFrame:
     """Days are made distinct first, so the state sees one row per user and day."""
     days = first_visits(df, [key], ts, salts=salts).select(key, ts)
     schema = T.StructType(
