@@ -170,7 +170,7 @@ class WordScores:
                 users = model.scripts.get(script_of(letters), everyone)
                 allowed.append(users if users.any() else everyone)
         self.rows[n : n + len(new)] = 0
-        if ids:
+        if ids and model.languages:
             scores = np.add.reduceat(model.scores[np.array(ids)], np.array(starts), axis=0)
             # Languages without the word's script are out, by more than any trigram could make good.
             self.rows[which] = np.where(np.array(allowed), scores - scores.max(axis=1, keepdims=True), -200.0)
