@@ -294,7 +294,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS)
         marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
     # Some max_rows ids and labels: the documents themselves aren't shuffled.
     folder = scratch(spark, "labelled")
-    docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("text", "toxic").repartition(64, F.xxhash64("text")).write.parquet(folder)
+    docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").repartition(64, "doc_id").select("text", "toxic").write.parquet(folder)
     rows = spark.read.parquet(folder)
     n_toxic, n_all = rows.filter("toxic = 1").count(), rows.count()
     share = (n_toxic + 1) / (n_all + 2)
