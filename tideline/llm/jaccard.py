@@ -1,14 +1,14 @@
 """N-gram Jaccard join (operator 10) by PartEnum signatures; near-duplicate groups of documents.
 
 Sets of similar size share a band. In a band whose largest set has r shingles, two sets at the threshold differ in at
-most K = floor(2 r (1 - t) / (1 + t)) shingles. The shingle domain is partitioned N = K + 2 + E ways, so such sets agree
-on at least 2 + E parts. A set's signature for a part is the sum of hashes of its shingles there. Empty parts give none:
-a set with at most E empty parts shares at least two signatures with every similar set. A set with more than E goes on to
+most K = floor(2 r (1 - t) / (1 + t)) shingles. The shingle domain is partitioned N = K + S + E ways, so such sets agree
+on at least S + E parts. A set's signature for a part is the sum of hashes of its shingles there. Empty parts give none:
+a set with at most E empty parts shares at least S signatures with every similar set. A set with more than E goes on to
 another partition of the domain, as would any set that agrees with it on empty parts; after the last, empty parts count.
 
 Signatures are sorted by range, so a group of any size is cut into slices of even tasks. Each slice compares its members
 with its first one only (links of copies are transitive). Where a group then still spans several components, members of
-different components that share two signatures are compared as well. That loses no link between components, and no
+different components that share S signatures are compared as well. That loses no link between components, and no
 group is ever expanded into all of its pairs.
 """
 
@@ -30,6 +30,7 @@ from tideline.session import scratch
 
 BAND_RATIO = 1.4
 ROUNDS = 16
+BAND_BITS = 128
 BROADCAST_IDS = 1 << 20
 _U64 = np.uint64
 
@@ -74,20 +75,32 @@ def band(size: int) -> tuple[int, int]:
 
 
 @lru_cache(maxsize=100_000)
-def scheme(high: int, percent: int) -> tuple[int, int]:
-    """Parts of the domain and empty parts allowed, for sets of up to ``high`` shingles; no parts if links need equal sets."""
+def scheme(high: int, percent: int) -> tuple[int, int, int]:
+    """For sets of up to ``high`` shingles: parts of the domain, empty parts allowed, and how many signatures similar sets
+    share at least. No parts if links need equal sets."""
     differ = 2 * high * (100 - percent) // (100 + percent)
     if differ == 0:
-        return 0, 0
+        return 0, 0, 1
+    shared = 2 + differ // 4
     smallest, allowed = high / BAND_RATIO * percent / 100, 0
     while True:
-        parts = differ + 2 + allowed
+        parts = differ + shared + allowed
         empty = parts * math.exp(-smallest / parts)
         if allowed >= empty + math.sqrt(empty) or allowed >= parts // 3:
-            return parts, allowed
+            return parts, allowed, shared
         allowed += 1
 
 
+def shared_by_band(percent: int) -> list[int]:
+    """How many signatures similar sets share at least, by the number of the band that the signatures are for."""
+    out, low = [], 1
+    for _ in range(BAND_BITS):
+        high = max(low, math.floor(low * BAND_RATIO))
+        out.append(scheme(high, percent)[2] if high < 1 << 24 else 2)
+        low = high + 1
+    return out
+
+
 def signatures(items: np.ndarray, percent: int) -> np.ndarray:
     """PartEnum signatures of a set, for its own band and, if a larger set in the next band can be similar, for that."""
     size = len(items)
@@ -101,7 +114,7 @@ def signatures(items: np.ndarray, percent: int) -> np.ndarray:
     values = _mix(items + _U64(0x5851F42D4C957F2D))
     low, up = (values & _U64(0xFFFFFF)).astype(np.float64), (values >> _U64(40)).astype(np.float64)
     for number, high in schemes:
-        parts, allowed = scheme(high, percent)
+        parts, allowed, _ = scheme(high, percent)
         if not parts:
             continue
         for turn in range(ROUNDS):
@@ -111,12 +124,21 @@ def signatures(items: np.ndarray, percent: int) -> np.ndarray:
             filled = np.bincount(where, minlength=parts) > 0
             last = turn == ROUNDS - 1
             found = _mix(_mix(sums) + np.arange(parts, dtype=_U64) + _U64(((number * ROUNDS + turn) << 32) + 1))
+            # The lowest bits tell the band.
+            found = (found & ~_U64(BAND_BITS - 1)) | _U64(number)
             out.append(found if last else found[filled])
             if parts - int(filled.sum()) <= allowed:
                 break
     return np.concatenate(out) if out else np.empty(0, dtype=_U64)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Texts become Python strings a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
 
@@ -125,7 +147,7 @@ def shingle_sizes(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles and set_key, a digest of the set (null if empty)."""
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_key"])
@@ -137,7 +159,7 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """node, signature: of every distinct set with a doc_id; its node is the smallest doc_id that has it."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             keys, found, ids = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 items = shingle_set(text, words)
@@ -207,7 +229,7 @@ def compare(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a not in known:
@@ -277,16 +299,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     links = compare(tried, docs, words, percent)
     found = kept(spark, components(links), "components")
 
-    # Groups that still span components. Similar members share two signatures, both of such groups.
+    # Groups that still span components. Similar members share S signatures, all of such groups.
     label = F.coalesce("component", "node")
     placed = members.select("signature", "node").distinct().join(found, "node", "left").select("signature", "node", label.alias("component"))
     placed = kept(spark, placed, "placed")
     groups = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
     open_rows = placed.join(groups.filter("low <> high").select("signature", "size"), "signature")
-    # Two nodes that share two signatures still share one if each leaves out the last of its own, in one order for all.
-    # The largest groups go last: a passage that many documents share gives most of them one signature each.
-    last = Window.partitionBy("node").orderBy(F.desc("size"), "signature")
-    open_rows = kept(spark, open_rows.withColumn("at", F.row_number().over(last)).filter("at > 1").drop("at", "size"), "open")
+    # Two nodes that share S signatures still share one if each leaves out the last S - 1 of its own, in one order for
+    # all. The largest groups go last: those of a passage that many documents share.
+    number = F.col("signature").bitwiseAND(F.lit(BAND_BITS - 1)).cast("int")
+    open_rows = open_rows.withColumn("band", number)
+    last = Window.partitionBy("node", "band").orderBy(F.desc("size"), "signature")
+    open_rows = open_rows.withColumn("at", F.row_number().over(last)).filter(F.col("at") >= F.get(F.lit(shared_by_band(percent)), F.col("band")))
+    open_rows = kept(spark, open_rows.drop("at", "size", "band"), "open")
     left, right = (open_rows.select("signature", F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("a", "b"))
     cross = left.join(right, "signature").filter("of_a < of_b").select("a", "b").distinct()
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
