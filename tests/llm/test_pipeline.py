@@ -81,6 +81,34 @@ def test_decontamination_as_brute_force(spark):
     assert decontaminate.matches(frame, bench.limit(0)).count() == 0
 
 
+def test_documents_shorter_than_an_item(spark):
+    """A whole text that is an item with words cut, against all pairs of whole texts and items that are longer."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([8, 30, 40, 64, 90, 130, 200])]
+    docs = []
+    for _, item in items:
+        words = item.split()
+        cuts = [words[1:], words[:-1], words[2:-1], words[: len(words) // 2], words[len(words) // 5 :], words[:5]]
+        at = len(words) // 2
+        cuts += [words[:at] + words[at + 1 :], words[1:-1] + ["x"]]
+        docs += [(len(docs) + k, " ".join(c)) for k, c in enumerate(cuts)]
+    want = {}
+    for doc_id, text in docs:
+        own = shingles(text)
+        for item_id, item in items:
+            if own and len(own) < len(shingles(item)) and alike(own, shingles(item)) >= 0.8:
+                want[doc_id] = (item_id, alike(own, shingles(item)), len(text.split()))
+    want |= {d: (i, s, len(dict(items)[i].split())) for d, found in brute(docs, items, 0.8).items() for i, s in found.items()}
+    frame = spark.createDataFrame([*docs, (docs[0][0], "few words")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.matches(frame, bench, radius=19).collect()}
+    assert got.keys() == want.keys() and len(want) > 20
+    for doc_id, (item_id, best, n_words) in want.items():
+        r = got[doc_id]
+        assert (r.item_id, r.first_word, r.n_words) == (item_id, 0, n_words) and r.similarity == pytest.approx(best)
+
+
 def test_index_holds_every_fingerprint_within_the_radius():
     rng, changes = random.Random(1), set(decontaminate.changes(15))
     for _ in range(300):

@@ -91,8 +91,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     """One row for each document that holds a benchmark item: doc_id, item_id, similarity, first_word, n_words, n_items.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are left out. A document holds an item if
-    some window of as many words has a weighted Jaccard similarity of shingles of at least ``similarity`` with it, and
-    a fingerprint within ``radius`` bits of its own. The row tells of the most similar item, of equal ones the smallest
+    some window of as many words, or the whole of a shorter text, has a weighted Jaccard similarity of shingles of at
+    least ``similarity`` with it, and a fingerprint within ``radius`` bits of its own. The row tells of the most similar item, of equal ones the smallest
     item_id and the first place; ``n_items`` counts all. Items of fewer than five words match nothing; those of over
     LONGEST shingles match by any part. Null doc_ids and null texts take no part, repeated rows count once. No rows on
     either side: no rows.
@@ -107,7 +107,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     parts = kept(parts.join(marked.withColumnRenamed("fp", "item_fp"), ["item_id", "from"]), "items")
 
     # Where a document has a shingle of an item, windows of the item's length around it are looked at.
-    wanted = kept(parts.select(F.explode("item").alias("x"), "n").distinct(), "shingles")
+    weighed = parts.select(F.explode("item").alias("x"), "n", weight(F.array_distinct("item")).alias("least"))
+    wanted = kept(weighed.groupBy("x", "n").agg(F.min("least").alias("least")), "shingles")
     if wanted.count() <= BROADCAST_ROWS:  # at most some 30 MB; else the join shuffles
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
@@ -115,16 +116,21 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     places = split.select("doc_id", "words", F.explode(places_of(F.col("words"))).alias("at"))
     seen = places.select("doc_id", "at", shingle(F.col("words"), F.col("at")).alias("x")).join(wanted, "x")
     run = F.explode(F.sequence(F.floor(F.greatest(F.lit(0), F.col("at") - F.col("n") + 1) / RUN), F.floor(F.col("at") / RUN)))
-    runs = kept(seen.select("doc_id", "n", run.alias("run")).distinct(), "runs")
+    runs = seen.select("doc_id", "n", run.alias("run"), "least").groupBy("doc_id", "n", "run").agg(F.min("least").alias("least"))
+    runs = kept(runs, "runs")
 
     key = ["doc_id", "of", "n", "run"]
-    held = texts.join(runs, "doc_id").select(F.xxhash64("text").alias("of"), "doc_id", "n", "run", words_of(F.col("text")).alias("words"))
+    held = texts.join(runs, "doc_id").select(F.xxhash64("text").alias("of"), "doc_id", "n", "run", "least", words_of(F.col("text")).alias("words"))
     most = F.least(F.col("run") * RUN + F.col("n") + (RUN - 2), (F.size("words") - WORDS).cast("bigint"))
     part = F.transform(F.sequence(F.col("run") * RUN, most), lambda i: shingle(F.col("words"), i))
-    held = held.filter(most >= F.col("run") * RUN + F.col("n") - 1).select(*key, part.alias("part"))
+    # A text shorter than the item is one window, if its weight is enough for the lightest item that it has a shingle of.
+    short = F.size("words").between(WORDS, F.col("n") + (WORDS - 2)) & (F.col("run") == 0)
+    held = held.filter(short | (most >= F.col("run") * RUN + F.col("n") - 1)).select(*key, "least", short.alias("short"), part.alias("part"))
+    held = held.filter(~F.col("short") | (weight(F.array_distinct("part")) / F.col("least") >= similarity)).select(*key, "part")
     held = kept(held.dropDuplicates(key), "windows")
 
-    windows = held.select(*key, "part", F.explode(F.sequence(F.lit(0), F.size("part") - F.col("n"))).alias("place"))
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("part") - F.col("n")))
+    windows = held.select(*key, "part", F.explode(places).alias("place"))
     windows = fingerprints(windows.select(*key, "place", F.explode(F.slice("part", F.col("place") + 1, F.col("n"))).alias("x")), [*key, "place"])
     keyed = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select(*key, "place", "fp", "b.block", "b.bits")
     index = parts.select("item_id", "from", "n", "item_fp", F.explode(blocks(F.col("item_fp"))).alias("b"))
@@ -136,7 +142,7 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     window = F.array_distinct(F.slice("part", F.col("place") + 1, F.col("n")))
     shared = weight(F.array_intersect(window, F.col("item")))
     alike = shared / (weight(window) + weight(F.array_distinct("item")) - shared)
-    found = pairs.select("doc_id", "item_id", alike.alias("similarity"), (F.col("run") * RUN + F.col("place")).alias("first_word"), "n").filter(F.col("similarity") >= similarity)
+    found = pairs.select("doc_id", "item_id", alike.alias("similarity"), (F.col("run") * RUN + F.col("place")).alias("first_word"), F.least("n", F.size("part")).alias("n")).filter(F.col("similarity") >= similarity)
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "item_id", "first_word", "n")).alias("best")
     by_item = found.groupBy("doc_id", "item_id").agg(best)
     out = by_item.groupBy("doc_id").agg(F.min("best").alias("best"), F.count("*").alias("n_items"))
