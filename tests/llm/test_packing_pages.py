@@ -118,6 +118,18 @@ def test_templates_of_a_host_go(spark):
     assert pages.extract_main_text(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [6, 60])
+def test_templates_do_not_depend_on_the_size_of_a_host(spark, size):
+    """A heading on a third of the pages is text, a box on all of them template; an article keeps what others share."""
+    page = "<body><div>Shop since 1990</div>{}<p>Text {}</p></body>"
+    rows = [(i, "http://a.example/x", page.format("" if i % 3 else "<h2>Introduction</h2>", i)) for i in range(size)]
+    article = "<body><div><article><table><tr><td>Yes</td></tr></table><ul><li>Same</li></ul></article></div><i>{}</i></body>"
+    rows += [(1000 + i, "http://b.example/x", article.format(i)) for i in range(size)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract_main_text(frame).collect()}
+    assert got == {i: f"Text {i}" if i % 3 else f"Introduction\nText {i}" for i in range(size)} | {1000 + i: "Yes\nSame" for i in range(size)}
+
+
 def test_pages_of_the_table(spark):
     """The pages' own marks tell what is to be found: every paragraph and heading of the article, and nothing else."""
     import html
