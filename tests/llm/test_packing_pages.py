@@ -104,6 +104,25 @@ def test_main_text(source, text):
     assert pages.Page(source).main_text() == text
 
 
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        ("<div class='content has-sidebar'><article><p>A</p></article></div><p>x</p>", "A"),
+        ("<div class='no-sidebar'><p>A</p><p class='address'>B</p></div>", "A\nB"),
+        ("<div class='page-with-header'><main class='search-results'><p>A</p></main></div>", "A"),
+        ("<div class='sidebar-left'><div id=search><article class='post share-enabled'><p>A</p></article></div></div>x", "A"),
+        ("<form><nav><a>Menu</a></nav><main><p>A</p></main></form>", "A"),
+        ("<article><div class='entry-header'><h1>T</h1></div><div class='header'>By B</div><p>A<span class='share'>Share</span>!</p></article>", "T\nBy B\nA!"),
+        ("<article><p>A</p><div class='related'><article>Other</article></div></article>", "A"),
+        ("<article><p>A</p></article><div class='comments'><article><p>Reader</p></article></div>", "A"),
+        ("<aside><article>Teaser</article></aside><p>A</p>", "A"),
+        ("<template><main>x</main></template><div class='ad-slot'>Buy</div><div class='header'>H</div><p>A</p>", "A"),
+    ],
+)
+def test_what_hides_and_what_does_not(source, text):
+    assert pages.Page(source).main_text() == text
+
+
 def test_templates_of_a_host_go(spark):
     """Without a marked article only the count can tell the template; copies of one page count once."""
     page = "<body><div><b>Shop</b> since 1990</div><div><p>Text {0} here</p><p>Shared paragraph {1}</p></div><div>Call us</div></body>"
