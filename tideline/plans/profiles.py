@@ -353,7 +353,7 @@ def _totals(shares: dict[str, str] | None) -> list[str]:
     """,
 )
 def infer_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J13, J14 and both forms of F14."""
+    """The plain sum, and shares of the same F12 scores; the weighted form over the J18 maps is not done."""
     found = profile.with_searches(
         user_times(spark, sf_dir), search_scores(spark, sf_dir), "event_time", ["device_score", "search_score", "search_ms"]
     )

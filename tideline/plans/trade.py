@@ -51,7 +51,7 @@ def province_order_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- A1, J6 -----------------------------------------------------------------------------------------
+# --- A1, J6 (part only) -----------------------------------------------------------------------------
 
 AMOUNTS = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
 
