@@ -149,6 +149,17 @@ def test_templates_do_not_depend_on_the_size_of_a_host(spark, size):
     assert got == {i: f"Text {i}" if i % 3 else f"Introduction\nText {i}" for i in range(size)} | {1000 + i: "Yes\nSame" for i in range(size)}
 
 
+def test_a_page_gets_its_own_part_of_the_template(spark):
+    """Of the host's four recurring boxes, each page has two; pages with an article need none."""
+    page = "<body>{}<p>Text {}</p></body>"
+    rows = [(i, "http://a.example/x", page.format("".join(f"<div>Box {k}</div>" for k in range(4) if i % 2 == k % 2), i)) for i in range(16)]
+    rows += [(100 + i, "http://b.example/x", page.format("<div>Box</div>", f"<article>{i}</article>")) for i in range(16)]
+    frame = spark.createDataFrame(rows * 2, "page_id long, url string, html string")
+    got = pages.page_templates(frame, share=0.4).collect()
+    assert len(got) == 16 and {r._host for r in got} == {"a.example"} and all(len(r.template) == 2 for r in got)
+    assert {r.text for r in pages.extract_main_text(frame, share=0.4).collect()} == {f"Text {i}" for i in range(16)} | {str(i) for i in range(16)}
+
+
 def test_pages_of_the_table(spark):
     """The pages' own marks tell what is to be found: every paragraph and heading of the article, and nothing else."""
     import html
