@@ -109,6 +109,20 @@ def test_documents_shorter_than_an_item(spark):
         assert (r.item_id, r.first_word, r.n_words) == (item_id, 0, n_words) and r.similarity == pytest.approx(best)
 
 
+def test_edited_copies_at_the_radius_in_use(spark):
+    """Items of the tables with one word deleted, whose fingerprints are further than 15 bits from the item's."""
+    items = [
+        (87, "Ofonbleeror atin onored heing stnter ofanblewhwh ertionen thon theser therti thnt blewh aantiinghe for.\nHean, oner. As shea and threouha "
+             "tion ti anontint oning reeaor to anntor thou onha of, and and the tothntorst er andoneningor and en on."),
+        (196, "Threeding thedeaed heeringon esingin ththouth onbleea erreon and at of asanlyenth on heheed.\nBy, on tionndth thha ou thndlyou the rest "
+              "eranat is heea thre thertion onstth ononwh reor, hathing with. A eantti tiing."),
+    ]
+    docs = [(87, items[0][1].replace("anntor ", "")), (196, items[1][1].replace("thedeaed ", ""))]
+    assert all(alike(shingles(d), shingles(i)) >= 0.8 for (_, d), (_, i) in zip(docs, items, strict=True))
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(87, 87), (196, 196)}
+
+
 def test_index_holds_every_fingerprint_within_the_radius():
     rng, changes = random.Random(1), set(decontaminate.changes(15))
     for _ in range(300):

@@ -24,7 +24,7 @@ from tideline.session import scratch
 
 WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 19
 BLOCK_BITS = 16
 # Windows go in runs of as many first words.
 RUN = 64
