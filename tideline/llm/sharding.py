@@ -18,8 +18,6 @@ from tideline.operators.joins import small_side
 from tideline.session import scratch
 
 SHARDS = 16
-# Rows of a shard are written in parts; a part's key is hashed to one of so many.
-PARTS = 1 << 16
 
 # Fixed values of the published algorithm: the multiplier of its generator, and its 31-bit range.
 MULTIPLIER = 2862933555777941757
@@ -61,7 +59,9 @@ def write_shards(docs: DataFrame, folder: str, key: str = "doc_id", shards: int
     not a task or a file: the shuffle before the write cuts whatever is large. No rows: no files.
     """
     placed = docs.select(F.struct("*").alias("document"), shard_of(F.col(key), shards).alias("shard"))
-    part = F.pmod(F.xxhash64(F.col("document").getField(key)), F.lit(PARTS)).alias("part")
+    # As many parts over all shards as there are partitions: one holds about one shard, so files stay few.
+    parts = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    part = F.pmod(F.xxhash64(F.col("document").getField(key)), F.lit(parts)).alias("part")
     balanced = placed.select("document", "shard", part).hint("rebalance", "shard", "part")
     ordered = balanced.sortWithinPartitions("shard", F.col("document").getField(key)).drop("part")
     ordered.write.partitionBy("shard").parquet(folder)
