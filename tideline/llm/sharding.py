@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tideline.llm.registry import query, table
 from tideline.operators.joins import small_side
@@ -73,8 +74,8 @@ def read_shards(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
     A file belongs to one shard, so a slot is the rows in the shard's files before, plus the place in the file: rows are
     counted by file, never sorted. ``like`` has the columns of the documents, for an empty folder.
     """
-    document = f"document struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in like.schema.fields)}>"
-    rows = spark.read.schema(f"{document}, shard int").parquet(folder).select(
+    schema = StructType([StructField("document", like.schema), StructField("shard", IntegerType())])
+    rows = spark.read.schema(schema).parquet(folder).select(
         "document", "shard", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     counted = rows.groupBy("shard", "file").agg(F.count("*").alias("rows"))
