@@ -11,6 +11,8 @@ from tideline.operators.joins import interval_join, membership
 
 # Places of a text are first held against the words' beginnings of at most so many characters.
 HEAD = 4
+# Characters of a text that are cut at a time.
+CHUNK = 128
 
 
 def comments_with_orders(comments: DataFrame, orders: DataFrame, comment_ts: str, order_ts: str) -> DataFrame:
@@ -43,21 +45,30 @@ def check_last_token(comments: DataFrame, words: DataFrame, text: str, word: str
 def contained_words(df: DataFrame, words: DataFrame, text: str, out: str, word: str = "word") -> DataFrame:
     """all listed words inside a text, ordered by first position, then by word; null and empty texts have none.
 
-    Every place of a text meets the beginnings of the words; where one stands, the pieces as long as the words that begin
-    so are looked up. Both look-ups are equal joins, which Catalyst broadcasts where the list is small. What a text holds
-    depends on nothing but the text, so results go back to the rows by its digest: rows need no key, may repeat, and
-    busy texts are split by AQE.
+    One pass cuts a text into chunks, each with as much of what follows as the longest word can need. Pieces are then cut
+    from a chunk, so that the cost of a place doesn't depend on the length of the text; chunks are spread over the
+    tasks, since looking a place up costs far more than moving it. Every place meets the beginnings of the words; where
+    one stands, the pieces as long as the words that begin so are looked up. Both look-ups are equal joins, which
+    Catalyst broadcasts where the list is small. What a text holds depends on nothing but the text, so results go back
+    to the rows by its digest: rows need no key, may repeat, and busy texts are split by AQE.
     """
     listed = words.select(F.col(word).alias("_w")).filter(F.length("_w") > 0).distinct()
     heads = listed.groupBy(F.left("_w", F.lit(HEAD)).alias("_head")).agg(F.collect_set(F.length("_w")).alias("_sizes"))
-    longest = listed.agg(F.max(F.length("_w"))).scalar()
-    key = F.sha2(F.col(text), 256)
+    longest = F.coalesce(listed.agg(F.max(F.length("_w"))).scalar(), F.lit(1))
+    size = F.greatest(F.lit(CHUNK), longest)
+    key = F.unhex(F.sha2(F.col(text), 256))
     texts = df.select(key.alias("_key"), F.col(text).alias("_t")).filter(F.length("_t") > 0)
-    places = texts.select("_key", "_t", F.explode(F.sequence(F.lit(1), F.length("_t"))).alias("_at"))
-    pieces = places.select("_key", "_at", F.substring("_t", F.col("_at"), longest).alias("_piece"))
-    # Whole words shorter than HEAD are their own beginnings. Near the end of a text there are fewer.
-    begins = F.array_distinct(F.transform(F.lit(list(range(1, HEAD + 1))), lambda n: F.left("_piece", n)))
-    begun = pieces.select("_key", "_at", "_piece", F.explode(begins).alias("_head")).join(heads, "_head")
+    # Two groups: a chunk, and what of the text follows it, which is looked at but not passed over.
+    pattern = F.concat(F.lit("(?s)(.{1,"), size, F.lit("})(?=(.{0,"), longest - 1, F.lit("}))"))
+    pairs = F.arrays_zip(*[F.regexp_extract_all("_t", pattern, F.lit(g)).alias(n) for g, n in ((1, "body"), (2, "rest"))])
+    chunks = texts.select("_key", F.posexplode(pairs).alias("_n", "_pair")).select(
+        "_key", (F.col("_n") * size).alias("_before"), F.length("_pair.body").alias("_places"), F.concat("_pair.body", "_pair.rest").alias("_chunk"), longest.alias("_longest")
+    ).repartition("_key", "_before")
+    cut = F.transform(F.sequence(F.lit(1), F.col("_places")), lambda at: F.substring("_chunk", at, F.col("_longest")))
+    pieces = chunks.select("_key", "_before", F.posexplode(cut).alias("_in", "_piece"))
+    # Whole words shorter than HEAD are their own beginnings. Near the end of a text some beginnings are the same, which does no harm.
+    begins = F.array(*[F.left("_piece", F.lit(n)) for n in range(1, HEAD + 1)])
+    begun = pieces.select("_key", (F.col("_before") + F.col("_in") + 1).alias("_at"), "_piece", F.explode(begins).alias("_head")).join(heads, "_head")
     whole = begun.select("_key", "_at", F.explode("_sizes").alias("_n"), "_piece").select("_key", "_at", F.left("_piece", F.col("_n")).alias("_w"))
     firsts = whole.join(listed, "_w").groupBy("_key", "_w").agg(F.min("_at").alias("_at"))
     found = firsts.groupBy("_key").agg(
