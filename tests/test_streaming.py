@@ -322,7 +322,7 @@ def test_totals_follow_the_stream(spark, feed, tmp_path):
     """Totals refreshed per micro-batch equal direct totals, also after a batch is replayed."""
     batch, stream = feed(rows(90))
     sums = {"amount": F.col("amount"), "n": F.lit(1)}
-    path, write = str(tmp_path / "totals"), totals_writer(str(tmp_path / "totals"), ["key"], sums)
+    path, write = str(tmp_path / "totals"), totals_writer(str(tmp_path / "totals"), ["key"], sums, run="totals")
     run(stream, str(tmp_path / "cp"), write=write)
     write(batch.filter("id < 23"), 0)
     assert bag(read_totals(spark, path, ["key"], ["amount", "n"])) == bag(metrics.preaggregated(batch, ["key"], sums))

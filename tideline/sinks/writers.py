@@ -62,8 +62,9 @@ def run_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def _batch_folder(df: DataFrame, path: str, batch_id: int) -> str:
-    return f"{path}/run={run_id(df.sparkSession)}/batch_id={batch_id}"
+def _batch_folder(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> str:
+    """``run`` names the run where a batch may be written again from outside of its streaming query."""
+    return f"{path}/run={run or run_id(df.sparkSession)}/batch_id={batch_id}"
 
 
 def write_by_destination(
@@ -112,18 +113,18 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "errorifex
     rows.write.mode(mode).options(header="true", quote='"', escape='"', nullValue="", emptyValue="").csv(path)
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(df: DataFrame, batch_id: int, path: str, run: str | None = None) -> None:
     """K5: rows of one micro-batch under their run and batch id; a replay replaces them."""
-    df.write.mode("overwrite").parquet(_batch_folder(df, path, batch_id))
+    df.write.mode("overwrite").parquet(_batch_folder(df, path, batch_id, run))
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda df, batch_id: write_batch(df, batch_id, path)
+def batch_writer(path: str, run: str | None = None) -> Callable[[DataFrame, int], None]:
+    return lambda df, batch_id: write_batch(df, batch_id, path, run)
 
 
-def totals_writer(path: str, keys: list[str], sums: dict[str, Column]) -> Callable[[DataFrame, int], None]:
+def totals_writer(path: str, keys: list[str], sums: dict[str, Column], run: str | None = None) -> Callable[[DataFrame, int], None]:
     """Adds each micro-batch to a table of totals, as one row per key and batch."""
-    return lambda df, batch_id: write_batch(preaggregated(df, keys, sums), batch_id, path)
+    return lambda df, batch_id: write_batch(preaggregated(df, keys, sums), batch_id, path, run)
 
 
 def read_totals(spark: SparkSession, path: str, keys: list[str], names: list[str]) -> DataFrame:
