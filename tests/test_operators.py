@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
-from tideline.operators import cdc, joins, logs, metrics, moderation, routing
+from tideline.operators import cdc, joins, logs, metrics, moderation, routing, scoring
 from tideline.operators.dedup import distinct_rows, first_per_key, latest_per_key, retract_versions
-from tideline.operators.dims import flat_dictionary, row_count, scan
+from tideline.operators.dims import Step, enrich_chain, flat_dictionary, fold, row_count, scan
 from tideline.operators.reshape import pivot, unpivot
 from tideline.operators.scoring import DEFAULT_BRAND, brand_weight_lookup, weight_lookup
 from tideline.operators.visitors import login_days, repair_visitor_flag
@@ -210,6 +210,58 @@ def test_contained_words_of_rows_without_ids(spark):
     assert sorted((r.t, r.found) for r in found) == [("alpha beta", ["alpha", "beta"]), ("beta", ["beta"]), ("gamma", ["gamma"])]
 
 
+def test_contained_words_over_chunk_ends(spark):
+    """Words that cross the ends of chunks, words longer than a chunk, characters of four bytes, and a very long text."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab😀é\n") for _ in range(n)) for n in (1, 127, 128, 129, 255, 256, 257, 700)]
+    texts += ["x" * 200_000 + "needle" + "y" * 9, "ab" * 300 + "é"]
+    listed = ["a", "😀", "é\na", "ab😀", "abab", "aé😀b", "needle", "y", "x" * 130, "ab" * 150 + "é", "\n\n"] + [t[120:132] for t in texts[3:8]]
+    words = spark.createDataFrame([(w,) for w in listed], "word string")
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.t: r.found for r in moderation.contained_words(docs, words, "t", "found").collect()}
+    assert found == {t: sorted({w for w in listed if w and w in t}, key=lambda w: (t.find(w), w)) for t in texts}
+
+
+def test_dimension_chain(spark):
+    """A chain equals its look-ups one by one, misses included; a birthday by a second key of the rows."""
+    rows = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (None, 10), (9, None)], "sku int, user int")
+    sku = spark.createDataFrame([(1, "s1", 5, 7), (2, "s2", 6, 8), (3, "s3", None, 9)], "id int, name string, tm int, c3 int")
+    tm = spark.createDataFrame([(5, "t5")], "id int, name string")
+    c3 = spark.createDataFrame([(7, "c7", 70), (8, "c8", 80)], "id int, name string, parent int")
+    c2 = spark.createDataFrame([(70, "c70")], "id int, name string")
+    user = spark.createDataFrame([(10, "1999-01-01")], "id int, birthday string")
+    steps = [
+        Step("sku", sku, "id", {"name": "sku_name", "tm": "tm_id", "c3": "c3_id"}), Step("tm_id", tm, "id", {"name": "tm_name"}),
+        Step("c3_id", c3, "id", {"name": "c3_name", "parent": "c2_id"}), Step("c2_id", c2, "id", {"name": "c2_name"}),
+        Step("user", user, "id", {"birthday": "birthday"}),
+    ]
+    out = enrich_chain(rows, steps)
+    assert out.columns == ["sku", "user", "sku_name", "tm_id", "c3_id", "tm_name", "c3_name", "c2_id", "c2_name", "birthday"]
+    assert bag(out.select("sku", "user", "sku_name", "tm_name", "c3_name", "c2_name", "birthday")) == Counter([
+        (1, 10, "s1", "t5", "c7", "c70", "1999-01-01"), (2, 20, "s2", None, "c8", None, None), (3, 30, "s3", None, None, None, None),
+        (None, 10, None, None, None, None, "1999-01-01"), (9, None, None, None, None, None, None)])
+    assert bag(enrich_chain(rows, steps[:2], "inner").select("sku", "tm_name")) == Counter([(1, "t5"), (2, None), (3, None)])
+    assert [len(fold(steps, rows.columns)), len(fold(steps[:4], rows.columns))] == [2, 1]
+    with pytest.raises(ValueError):
+        enrich_chain(rows, steps[1:2])
+
+
+def test_weight_maps_are_merged_by_band(spark):
+    """F14 over maps: spellings of bands (Q16), missing maps, bands and weights, and shares."""
+    df = spark.createDataFrame(
+        [(1, {"18_24": 0.5, "50以上": 0.25}, {"18-24": 0.1, "25-29": 0.3}), (2, None, {"30-34": None, "40-49": 0.5}), (3, None, None)],
+        "id int, a map<string,double>, b map<string,double>",
+    )
+    merged = scoring.merged_bands({"time": "a", "device": "b"}, scoring.SHARES)
+    rows = {r.id: r for r in df.select("id", scoring.band_totals(merged).cast("array<double>").alias("t"), scoring.inferred_band(scoring.band_totals(merged)).alias("band")).collect()}
+    assert rows[1].t == [0.175, 0.3, 0, 0, 0, 0.0375] and rows[2].t == [0, 0, 0, 0, 0.5, 0] and rows[3].t == [0] * 6
+    assert [rows[i].band for i in (1, 2, 3)] == ["25-29", "40-49", "18-24"]
+    plain = scoring.band_totals(scoring.merged_bands({"x": "a", "y": "b"})).cast("array<double>")
+    assert df.filter("id = 1").select(plain).first()[0] == [0.6, 0.3, 0, 0, 0, 0.25]
+    vector = scoring.vector_bands(scoring.score_vector(["p", "q", "p", "q", "p", "q"]))
+    assert spark.createDataFrame([("1", "x")], "p string, q string").select(vector["18-24"].cast("int"), vector["50"].cast("int")).first() == (1, 0)
+
+
 def test_inject_words(spark):
     docs = spark.range(20000).select(F.col("id"), F.lit("text").alias("t"))
     words = spark.createDataFrame([(f"w{i}",) for i in range(300)], "word string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,6 +160,39 @@ def total_scores(parts: dict[str, str], shares: dict[str, str] | None = None) ->
     return F.expr(f"array({totals})")
 
 
+def common_bands(bands: Column | str) -> Column:
+    """Q16: one spelling of the bands, whether a map says 18_24, 18-24 or 50以上."""
+    return F.transform_keys(col(bands), lambda band, _: F.rtrim(F.translate(band, "_", "-"), F.lit("以上")))
+
+
+def vector_bands(scores: Column | str) -> Column:
+    """A score vector as a map per band, as weight files give them."""
+    return F.map_from_arrays(F.array(*[F.lit(b) for b in BANDS]), col(scores))
+
+
+def merged_bands(parts: dict[str, Column | str], shares: dict[str, str] | None = None) -> Column:
+    """F14 over maps (J18): each band's sum over the parts; ``shares`` weights the parts.
+
+    A missing part, band or weight counts 0, and a part may have bands that another lacks.
+    """
+    zero, exact = F.lit(Decimal("0")), "decimal(20,9)"
+
+    def weighted(name: str, bands: Column | str) -> Column:
+        share = F.lit(Decimal(shares[name])) if shares else F.lit(Decimal("1"))
+        known = F.coalesce(common_bands(bands).cast("map<string,decimal(20,6)>"), F.create_map().cast("map<string,decimal(20,6)>"))
+        return F.transform_values(known, lambda _, weight: (F.coalesce(weight, zero) * share).cast(exact))
+
+    def add(left: Column, right: Column) -> Column:
+        return F.map_zip_with(left, right, lambda _, a, b: (F.coalesce(a, zero) + F.coalesce(b, zero)).cast(exact))
+
+    return reduce(add, [weighted(n, c) for n, c in parts.items()])
+
+
+def band_totals(bands: Column | str) -> Column:
+    """The totals of a map in the order of the bands."""
+    return F.array(*[F.coalesce(F.element_at(col(bands), b), F.lit(Decimal("0"))) for b in BANDS])
+
+
 def inferred_band(totals: Column | str) -> Column:
     """the first band with the highest total."""
     vector = col(totals)

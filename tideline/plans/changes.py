@@ -246,13 +246,17 @@ def comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "comment_fact",
     """
+    WITH c AS (SELECT *, CASE WHEN doc_id % 6 = 1 THEN 'no ' ELSE '' END || source AS appraise FROM documents)
     SELECT CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 100 AS VARCHAR) AS user_id, CAST(doc_id % 50 AS VARCHAR) AS sku_id,
-      source AS appraise, 'label ' || source AS appraise_name, text AS comment_txt, doc_id AS ts_ms
-    FROM documents WHERE source <> 'src7'
+      appraise, dic_name AS appraise_name, text AS comment_txt, doc_id AS ts_ms
+    FROM c JOIN (SELECT DISTINCT source AS dic_code, 'label ' || source AS dic_name FROM documents) ON appraise = dic_code
     """,
 )
 def comment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sixth comment has a grade that the dictionary lacks."""
     comments = cdc.rows_of(cdc.parse_cdc(comment_messages(spark, sf_dir)), "comment_info")
-    codes = table(spark, sf_dir, "documents").select("source").distinct().filter(F.col("source") != "src7")
+    unknown = F.col("id").cast("bigint") % 6 == 1
+    comments = comments.withColumn("appraise", F.concat(F.when(unknown, "no ").otherwise(""), "appraise"))
+    codes = table(spark, sf_dir, "documents").select("source").distinct()
     dictionary = codes.select(F.col("source").alias("dic_code"), F.concat(F.lit("label "), "source").alias("dic_name"))
     return facts.comment_fact(comments, dictionary)

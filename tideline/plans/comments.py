@@ -60,28 +60,34 @@ def moderate_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "membership",
     """
-    SELECT doc_id, source, source IN (SELECT 'src' || (item_id % 13) FROM benchmark WHERE item_id % 13 <> 5) AS is_member
-    FROM documents
+    SELECT doc_id, label, label IN (SELECT 'src' || (item_id % 13) FROM benchmark) AS is_member
+    FROM (SELECT *, CASE WHEN doc_id % 4 = 1 THEN 'no ' ELSE '' END || source AS label FROM documents)
     """,
 )
 def member_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return membership(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", _sources(spark, sf_dir))
+    return membership(_labelled(spark, sf_dir), "label", _sources(spark, sf_dir))
 
 
 @query(
     "membership_filter",
     """
-    SELECT doc_id, source FROM documents
-    WHERE source IN (SELECT 'src' || (item_id % 13) FROM benchmark WHERE item_id % 13 <> 5)
+    SELECT doc_id, label FROM (SELECT *, CASE WHEN doc_id % 4 = 1 THEN 'no ' ELSE '' END || source AS label FROM documents)
+    WHERE label IN (SELECT 'src' || (item_id % 13) FROM benchmark)
     """,
 )
 def member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", _sources(spark, sf_dir))
+    return members(_labelled(spark, sf_dir), "label", _sources(spark, sf_dir))
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("item_id") % 13
-    return table(spark, sf_dir, "benchmark").filter(number != 5).select(F.concat(F.lit("src"), number.cast("string")).alias("word"))
+    return table(spark, sf_dir, "benchmark").select(F.concat(F.lit("src"), number.cast("string")).alias("word"))
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by their source; every fourth has a source that is in no list."""
+    label = F.concat(F.when(F.col("doc_id") % 4 == 1, "no ").otherwise(""), "source").alias("label")
+    return table(spark, sf_dir, "documents").select("doc_id", label)
 
 
 @query(

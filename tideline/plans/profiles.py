@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.time import time_slot
@@ -125,16 +125,15 @@ def score_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEARCH_OF = {"c0": "时尚与潮流", "c1": "性价比", "c2": "健康与养生", "c3": "家庭与育儿", "c4": "科技与数码", "c6": "学习与发展"}
 SEARCH_SQL = f"""
 SELECT v.*, b1_category, coalesce(search_category, 'unknown') AS search_category FROM ({VIEWS}) v
-LEFT JOIN (SELECT DISTINCT 'red Word' || p_size AS word, 'c' || (p_size % 7) AS b1_category FROM part WHERE p_size % 9 <> 8) c ON v.item = c.word
+LEFT JOIN (SELECT DISTINCT 'red Word' || p_size AS word, 'c' || (p_size % 7) AS b1_category FROM part) c ON v.item = c.word
 LEFT JOIN (VALUES {', '.join(f"('{k}', '{v}')" for k, v in SEARCH_OF.items())}) m(cat, search_category) ON b1_category = m.cat
 """
 
 
 def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page views with the category of their item: the tree comes from part sizes, 9k + 8 is unknown."""
+    """Page views with the category of their item: the tree comes from part sizes, which no item 0 has."""
     size = F.col("p_size")
-    known = table(spark, sf_dir, "part").filter(size % 9 != 8)
-    tree = known.select(
+    tree = table(spark, sf_dir, "part").select(
         F.concat(F.lit("red Word"), size.cast("string")).alias("b3name"), F.concat(F.lit("c"), (size % 7).cast("string")).alias("b1name")
     ).distinct()
     names = F.create_map(*[F.lit(x) for p in SEARCH_OF.items() for x in p])
@@ -193,7 +192,7 @@ def score_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A weight file written from the brands of part, read back."""
-    brands = table(spark, sf_dir, "part").filter(F.col("p_brand") != "Brand#9").groupBy("p_brand").agg(
+    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(
         F.count("*").alias("n"), F.max("p_size").alias("m")
     )
     bands = F.create_map(*[x for i, b in enumerate(scoring.BANDS) for x in (F.lit(b), ((F.col("m") + i) / 100).cast("double"))])
@@ -205,7 +204,7 @@ def written_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "read_weight_file",
     "SELECT p_brand AS label, CAST((max(p_size)) / 100 AS DOUBLE) AS first, CAST((max(p_size) + 5) / 100 AS DOUBLE) AS last "
-    "FROM part WHERE p_brand <> 'Brand#9' GROUP BY p_brand",
+    "FROM part GROUP BY p_brand",
 )
 def read_weight_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_weights(spark, sf_dir).select(
@@ -216,16 +215,18 @@ def read_weight_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "weight_default",
     """
-    WITH w AS (SELECT p_brand AS label, max(p_size) / 100 AS first FROM part WHERE p_brand <> 'Brand#9' GROUP BY p_brand)
-    SELECT p_partkey, p_brand, CAST(coalesce(w.first, d.first) AS DOUBLE) AS first
-    FROM part LEFT JOIN w ON p_brand = w.label, (SELECT first FROM w WHERE label = 'Brand#1') d
+    WITH w AS (SELECT p_brand AS label, max(p_size) / 100 AS first FROM part GROUP BY p_brand),
+    sold AS (SELECT p_partkey, CASE WHEN p_partkey % 6 = 1 THEN 'no ' ELSE '' END || p_brand AS brand FROM part)
+    SELECT p_partkey, brand, CAST(coalesce(w.first, d.first) AS DOUBLE) AS first
+    FROM sold LEFT JOIN w ON brand = w.label, (SELECT first FROM w WHERE label = 'Brand#1') d
     """,
 )
 def weight_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unknown brand reads the default brand's weights."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    looked_up = scoring.weight_lookup(part, "p_brand", written_weights(spark, sf_dir), "bands", "Brand#1")
-    return looked_up.select("p_partkey", "p_brand", F.col("bands")["18-24"].alias("first"))
+    brand = F.concat(F.when(F.col("p_partkey") % 6 == 1, "no ").otherwise(""), "p_brand").alias("brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", brand)
+    looked_up = scoring.weight_lookup(part, "brand", written_weights(spark, sf_dir), "bands", "Brand#1")
+    return looked_up.select("p_partkey", "brand", F.col("bands")["18-24"].alias("first"))
 
 
 # --- inference --------------------------------------------------------------------------------------
@@ -280,7 +281,7 @@ def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select("uid", "event_time", "l_orderkey", "l_linenumber", "amount", "brand")
     last = last_per_window(rows, ["uid"], "event_time", "1 day", ["event_time", "l_orderkey", "l_linenumber", "amount", "brand"])
     return last.select(
-        "uid", "event_time", F.col("l_orderkey").alias("order_id"),
+        "uid", "event_time", F.col("l_orderkey").alias("order_id"), "brand", time_slot("event_time").alias("slot"),
         scoring.time_scores(time_slot("event_time")).alias("time_score"),
         scoring.amount_scores("amount").alias("amount_score"),
         scoring.brand_scores("brand").alias("brand_score"),
@@ -353,7 +354,7 @@ def _totals(shares: dict[str, str] | None) -> list[str]:
     """,
 )
 def infer_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plain sum, and shares of the same F12 scores; the weighted form over the J18 maps is not done."""
+    """The plain sum, and shares of the same F12 scores."""
     found = profile.with_searches(
         user_times(spark, sf_dir), search_scores(spark, sf_dir), "event_time", ["device_score", "search_score", "search_ms"]
     )
@@ -369,6 +370,101 @@ def infer_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Weight files of brands and time slots, and columns that other jobs put on an order row: one for each band, some missing.
+BRAND_WEIGHTS_SQL = f"SELECT {BRAND_SQL} AS known, sum(p_size) AS s FROM part GROUP BY 1"
+SLOT_WEIGHTS_SQL = f"SELECT {SLOT_SQL} AS known, count(*) AS s FROM (SELECT o_orderkey % 24 AS h FROM orders) GROUP BY 1"
+BAND_NUMBERS = list(enumerate(BANDS))
+
+
+def weight_file(spark: SparkSession, totals: DataFrame, modulus: int) -> DataFrame:
+    """A weight file with a map per label, written from totals (label, s) and read back; bands in another spelling (Q16)."""
+    bands = F.create_map(*[x for i, b in BAND_NUMBERS for x in (F.lit("50以上" if b == "50" else b), (F.col("s") * (i + 1) % modulus / 100).cast("double"))])
+    path = scratch(spark, "weights")
+    totals.select(F.to_json(F.create_map("label", bands)).alias("value")).write.text(path)
+    return weight_table(spark, path)
+
+
+def order_columns(prefix: str, factor: int) -> list[Column]:
+    number = lambda i: F.col("order_id") * (i + factor) % 11
+    return [F.when(number(i) != 10, (number(i) / 100).cast("string")).alias(f"{prefix}_{b}") for i, b in BAND_NUMBERS]
+
+
+def joined_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each user, search and order that lie together, with all scores and labels."""
+    found = profile.with_searches(
+        user_times(spark, sf_dir), search_scores(spark, sf_dir), "event_time", ["device_score", "search_score", "search_ms"]
+    )
+    orders = order_scores(spark, sf_dir)
+    orders = orders.withColumn("tm_name", F.when(F.col("order_id") % 6 == 1, "unlisted").otherwise(F.col("brand")))
+    return profile.with_orders(
+        found, orders, "event_time", ["time_score", "amount_score", "brand_score", "order_id", "tm_name", "slot"]
+    )
+
+
+def _column_sql(i: int, factor: int) -> str:
+    return f"(CASE WHEN order_id * {i + factor} % 11 = 10 THEN 0 ELSE {_dec(f'(order_id * {i + factor} % 11) / 100')} END)"
+
+
+def _weight_sql(alias: str, i: int, modulus: int) -> str:
+    return _dec(f"({alias}.s * {i + 1} % {modulus}) / 100")
+
+
+def _inferred_sql(totals: list[str], source: str, column: str) -> str:
+    return (
+        f"SELECT CAST(uid AS VARCHAR) AS uid, ts_ms, search_ms, order_id, {_arg_max([f't{i}' for i in range(6)])} AS {column} "
+        f"FROM (SELECT *, {', '.join(f'{t} AS t{i}' for i, t in enumerate(totals))} FROM {source})"
+    )
+
+
+JOINED_SQL = f"""
+(SELECT p.*, o.l_orderkey AS order_id, o.slot, o.brand, CASE WHEN o.l_orderkey % 6 = 1 THEN 'unlisted' ELSE o.brand END AS tm_name,
+  {LABEL_SQL} AS label FROM ({PROFILE_SQL}) p JOIN ({LAST_ORDERS}) o ON p.uid = o.uid AND abs(o.ms - p.ts_ms) <= 10 * 86400000)
+"""
+
+
+@query(
+    "infer_age_six_parts",
+    _inferred_sql([f"{t} + {_column_sql(i, 2)}" for i, t in enumerate(_totals(None))], JOINED_SQL, "age_level"),
+)
+def infer_age_six_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14, plain form: five scores, and the category's from one column per band."""
+    joined = joined_profile(spark, sf_dir).select("*", *order_columns("b1name", 2))
+    scored = joined.withColumn("b1name_score", scoring.score_vector([f"b1name_{b}" for b in BANDS]))
+    parts = {n: f"{n}_score" for n in ("search", "device", "time", "brand", "amount", "b1name")}
+    return scored.select("uid", "ts_ms", "search_ms", "order_id", scoring.inferred_band(scoring.total_scores(parts)).alias("age_level"))
+
+
+@query(
+    "infer_age_weight_maps",
+    f"WITH bw AS ({BRAND_WEIGHTS_SQL}), sw AS ({SLOT_WEIGHTS_SQL}) "
+    + _inferred_sql(
+        [
+            f"{_case('search_category', scoring.SEARCH_WEIGHTS, '0.15', i)} * 0.3 + coalesce({_weight_sql('b', i, 89)}, {_weight_sql('d', i, 89)}) * 0.2 "
+            f"+ coalesce({_weight_sql('w', i, 83)}, 0) * 0.15 + {_case('label', scoring.AMOUNT_WEIGHTS, '0.1', i)} * 0.1 "
+            f"+ {_case('family', scoring.DEVICE_WEIGHTS, '0.1', i)} + {_column_sql(i, 3)}"
+            for i in range(6)
+        ],
+        f"{JOINED_SQL} j LEFT JOIN bw b ON j.tm_name = b.known LEFT JOIN sw w ON j.slot = w.known "
+        f"JOIN bw d ON d.known = '{scoring.DEFAULT_BRAND}'",
+        "inferred_age",
+    ),
+)
+def infer_age_weight_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14, weighted form: brand and time weights from files (J18), the keyword's from one column per band."""
+    names = F.array(*[F.lit(b) for b in BRAND_NAMES])
+    brand = F.element_at(names, (F.col("p_partkey") % len(BRAND_NAMES) + 1).cast("int")).alias("label")
+    brands = weight_file(spark, table(spark, sf_dir, "part").groupBy(brand).agg(F.sum("p_size").alias("s")), 89)
+    hour = F.timestamp_millis(F.col("o_orderkey") % 24 * 3_600_000)
+    slots = weight_file(spark, table(spark, sf_dir, "orders").groupBy(time_slot(hour).alias("label")).agg(F.count("*").alias("s")), 83)
+    joined = joined_profile(spark, sf_dir).select("*", *order_columns("keyword", 3))
+    looked_up = scoring.weight_lookup(scoring.brand_weight_lookup(joined, "tm_name", brands), "slot", slots, "time_code")
+    keyword = scoring.score_vector([f"keyword_{b}" for b in BANDS])
+    vectors = {"category": F.col("search_score"), "price": F.col("amount_score"), "device": F.col("device_score"), "keyword": keyword}
+    parts = {"brand": "tm_code", "time": "time_code", **{n: scoring.vector_bands(v) for n, v in vectors.items()}}
+    totals = scoring.band_totals(scoring.merged_bands(parts, scoring.SHARES))
+    return looked_up.select("uid", "ts_ms", "search_ms", "order_id", scoring.inferred_band(totals).alias("inferred_age"))
+
+
 @query(
     "profile_value_sets",
     f"""

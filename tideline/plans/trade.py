@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions.time import to_millis
 from tideline.operators import cdc, facts, metrics
 from tideline.operators.dedup import retract_versions
-from tideline.operators.dims import category_tree, flat_dictionary, sku_dimension
+from tideline.operators.dims import Step, category_tree, enrich_chain, flat_dictionary, sku_dimension
 from tideline.operators.joins import enrich
 from tideline.plans.inputs import (
     DAY, LATEST_LINES, LINE_ID, LINE_KEY, LINE_VERSION, as_double, latest_lines, line_id, money, table, window_sql,
@@ -51,7 +51,7 @@ def province_order_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- A1, J6 (part only) -----------------------------------------------------------------------------
+# --- A1, J6 -----------------------------------------------------------------------------------------
 
 AMOUNTS = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
 
@@ -75,25 +75,62 @@ AMOUNTS_SQL = """
   CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS coupon_reduce_amount,
   CAST(l_extendedprice AS DECIMAL(18,2)) * (1.00 - CAST(l_discount AS DECIMAL(4,2))) AS order_amount
 """
+CHAIN_COLUMNS = [
+    "sku_name", "spu_id", "spu_name", "tm_id", "tm_name", "category3_id", "category3_name", "category2_id", "category2_name",
+    "category1_id", "category1_name",
+]
+CHAIN_SQL = ", ".join(CHAIN_COLUMNS)
 SUMS_SQL = ", ".join(f"CAST(sum({a}) AS DOUBLE) AS {a}" for a in AMOUNTS)
 
 
 @query(
     "sku_order_window",
     f"""
-    SELECT stt, edt, cur_date, sku_id, p_name AS sku_name, p_brand AS tm_name, p_type AS category_name,
-      {', '.join(AMOUNTS)} FROM (
-      SELECT {window_sql('l_shipdate', MONTH_S)}, l_partkey AS sku_id, {SUMS_SQL}
+    WITH sku AS (SELECT p_partkey AS id, p_name AS sku_name, p_type AS spu_id, CASE WHEN p_partkey % 10 = 3 THEN 'no ' ELSE '' END || p_brand AS tm_id,
+        CASE WHEN p_partkey % 9 <> 5 THEN p_size END AS category3_id FROM part),
+      spu AS (SELECT DISTINCT p_type AS id, 'spu ' || p_type AS spu_name FROM part),
+      tm AS (SELECT DISTINCT p_brand AS id, 'brand ' || p_brand AS tm_name FROM part),
+      c3 AS (SELECT DISTINCT p_size AS id, 'c3 ' || p_size AS category3_name, p_size % 12 AS category2_id FROM part),
+      c2 AS (SELECT DISTINCT p_size % 12 AS id, 'c2 ' || p_size % 12 AS category2_name, p_size % 12 % 4 AS category1_id FROM part),
+      c1 AS (SELECT DISTINCT p_size % 12 % 4 AS id, 'c1 ' || p_size % 12 % 4 AS category1_name FROM part)
+    SELECT stt, edt, cur_date, sku_id, {CHAIN_SQL}, {', '.join(AMOUNTS)} FROM (
+      SELECT {window_sql('l_shipdate', MONTH_S)}, CASE WHEN l_partkey % 14 = 9 THEN -l_partkey ELSE l_partkey END AS sku_id, {SUMS_SQL}
       FROM (SELECT l_shipdate, l_partkey, {AMOUNTS_SQL} FROM ({LATEST_LINES})) GROUP BY ALL) w
-    LEFT JOIN part ON sku_id = p_partkey
+    LEFT JOIN sku ON sku_id = sku.id LEFT JOIN spu ON spu_id = spu.id LEFT JOIN tm ON tm_id = tm.id
+    LEFT JOIN c3 ON category3_id = c3.id LEFT JOIN c2 ON category2_id = c2.id LEFT JOIN c1 ON category1_id = c1.id
     """,
 )
 def sku_order_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _with_amounts(latest_lines(spark, sf_dir)).withColumnRenamed("l_partkey", "sku_id")
+    """Windows by sku, then the chain of dimensions; some skus, trademarks and categories are unknown."""
+    key = F.col("l_partkey")
+    lines = _with_amounts(latest_lines(spark, sf_dir)).withColumn("sku_id", F.when(key % 14 == 9, -key).otherwise(key))
     windows = metrics.sku_orders(lines, "l_shipdate", MONTH, "sku_id", AMOUNTS)
-    names = {"p_name": "sku_name", "p_brand": "tm_name", "p_type": "category_name"}
-    named = enrich(windows, table(spark, sf_dir, "part"), "sku_id", "p_partkey", names)
-    return as_double(named, *AMOUNTS).select("stt", "edt", "cur_date", "sku_id", *names.values(), *AMOUNTS)
+    return as_double(enrich_chain(windows, sku_chain(spark, sf_dir)), *AMOUNTS).select(
+        "stt", "edt", "cur_date", "sku_id", *CHAIN_COLUMNS, *AMOUNTS
+    )
+
+
+def sku_chain(spark: SparkSession, sf_dir: str) -> list[Step]:
+    """sku -> spu, trademark, category 3 -> 2 -> 1."""
+    part = table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    named = lambda key, prefix, **more: part.select(
+        key.alias("id"), F.concat(F.lit(f"{prefix} "), key.cast("string")).alias("name"), *[c.alias(n) for n, c in more.items()]
+    ).distinct()
+    sku = part.select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"), F.col("p_type").alias("spu_id"),
+        F.concat(F.when(F.col("p_partkey") % 10 == 3, "no ").otherwise(""), "p_brand").alias("tm_id"),
+        F.when(F.col("p_partkey") % 9 != 5, size).alias("category3_id"),
+    )
+    ids = ["spu_id", "tm_id", "category3_id"]
+    return [
+        Step("sku_id", sku, "id", {n: n for n in ["sku_name", *ids]}),
+        Step("spu_id", named(F.col("p_type"), "spu"), "id", {"name": "spu_name"}),
+        Step("tm_id", named(F.col("p_brand"), "brand"), "id", {"name": "tm_name"}),
+        Step("category3_id", named(size, "c3", category2_id=size % 12), "id", {"name": "category3_name", "category2_id": "category2_id"}),
+        Step("category2_id", named(size % 12, "c2", category1_id=size % 12 % 4), "id", {"name": "category2_name", "category1_id": "category1_id"}),
+        Step("category1_id", named(size % 12 % 4, "c1"), "id", {"name": "category1_name"}),
+    ]
 
 
 # --- T1, T2 -----------------------------------------------------------------------------------------
@@ -258,9 +295,9 @@ def _lines_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priority_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """base_dic as nested rows: priority digit -> priority name; code 3 is missing."""
+    """base_dic as nested rows: priority digit -> priority name."""
     codes = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
-    return codes.filter(~F.col("o_orderpriority").startswith("3")).select(
+    return codes.select(
         F.left("o_orderpriority", F.lit(1)).alias("dic_code"),
         F.struct(F.substr("o_orderpriority", F.lit(3)).alias("dic_name")).alias("info"),
     )
@@ -270,13 +307,15 @@ def priority_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     "payment_fact",
     f"""
     SELECT d.id AS order_detail_id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id,
-      coupon_id, substr(o_orderpriority, 1, 1) AS payment_type_code, substr(o_orderpriority, 3) AS payment_type_name,
+      coupon_id, payment_type_code, dic_name AS payment_type_name,
       CAST(pay_ms AS VARCHAR) AS callback_time, sku_num, split_original_amount, split_activity_amount,
       split_coupon_amount, split_total_amount AS split_payment_amount, pay_ms AS ts_ms
-    FROM (SELECT *, CAST(order_id AS BIGINT) AS o FROM ({ORDER_DETAIL_SQL})) d,
+    FROM (SELECT *, CASE WHEN o % 8 = 5 THEN 'x' ELSE '' END || substr(o_orderpriority, 1, 1) AS payment_type_code
+      FROM (SELECT *, CAST(order_id AS BIGINT) AS o FROM ({ORDER_DETAIL_SQL}))) d
+    JOIN (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS dic_code, substr(o_orderpriority, 3) AS dic_name FROM orders) dic
+      ON payment_type_code = dic_code,
       LATERAL (SELECT epoch_us(o_orderdate) // 1000 + (o % 60) * 60000 - (o % 7) * 1000 AS pay_ms) p
     WHERE epoch_us(o_orderdate) // 1000 BETWEEN pay_ms - 30 * 60000 AND pay_ms + 5000
-      AND substr(o_orderpriority, 1, 1) <> '3'
     """,
 )
 def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,7 +324,7 @@ def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     payments = orders.select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.left("o_orderpriority", F.lit(1)).alias("payment_type"),
+        F.concat(F.when(F.col("o_orderkey") % 8 == 5, "x").otherwise(""), F.left("o_orderpriority", F.lit(1))).alias("payment_type"),
         paid_ms.cast("string").alias("callback_time"),
         paid_ms.alias("ts_ms"),
         F.timestamp_millis(paid_ms).alias("pay_ts"),
@@ -300,8 +339,7 @@ def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH dic AS (
       SELECT DISTINCT l_linestatus AS dic_code, 'status ' || l_linestatus AS dic_name FROM lineitem
       UNION ALL
-      SELECT DISTINCT substr(o_orderpriority, 1, 1), substr(o_orderpriority, 3) FROM orders
-      WHERE substr(o_orderpriority, 1, 1) <> '3')
+      SELECT DISTINCT substr(o_orderpriority, 1, 1), substr(o_orderpriority, 3) FROM orders)
     SELECT {LINE_ID} AS id, CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_orderkey AS VARCHAR) AS order_id,
       CAST(l_partkey AS VARCHAR) AS sku_id, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
       strftime(l_shipdate, '%Y-%m-%d') AS date_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
@@ -557,47 +595,55 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sku_dim",
     """
-    SELECT p_partkey AS id, p_name AS sku_name, p_retailprice AS price, p_type AS spu_id, p_brand AS tm_id,
-      'spu ' || p_type AS spu_name, 'brand ' || p_brand AS tm_name FROM part WHERE p_brand <> 'Brand#25'
+    WITH sku AS (SELECT *, CASE WHEN p_partkey % 10 = 3 THEN 'no ' ELSE '' END || p_brand AS tm_id FROM part)
+    SELECT p_partkey AS id, p_name AS sku_name, p_retailprice AS price, p_type AS spu_id, tm_id,
+      'spu ' || p_type AS spu_name, tm_name
+    FROM sku JOIN (SELECT DISTINCT p_brand AS brand, 'brand ' || p_brand AS tm_name FROM part) ON tm_id = brand
     """,
 )
 def sku_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     sku = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"), F.col("p_retailprice").alias("price"),
-                      F.col("p_type").alias("spu_id"), F.col("p_brand").alias("tm_id"))
+                      F.col("p_type").alias("spu_id"), F.concat(F.when(F.col("p_partkey") % 10 == 3, "no ").otherwise(""), "p_brand").alias("tm_id"))
     spu = part.select(F.col("p_type").alias("id"), F.concat(F.lit("spu "), "p_type").alias("spu_name")).distinct()
-    brand = part.filter(F.col("p_brand") != "Brand#25").select(
+    brand = part.select(
         F.col("p_brand").alias("id"), F.concat(F.lit("brand "), "p_brand").alias("tm_name")
     ).distinct()
     return sku_dimension(sku, spu, brand).select("id", "sku_name", "price", "spu_id", "tm_id", "spu_name", "tm_name")
 
 
+def _users_with_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh user has a province that nobody knows."""
+    shift = F.when(F.col("c_custkey") % 7 == 2, 1000).otherwise(0)
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", (F.col("c_nationkey") + shift).alias("province_id"))
+
+
 @query(
     "enrich_dim_left",
     """
     SELECT c_custkey, c_name, n_name AS province_name, coalesce(n_name, 'unknown') AS shown_name
-    FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey
+    FROM (SELECT *, CASE WHEN c_custkey % 7 = 2 THEN 1000 ELSE 0 END + c_nationkey AS province_id FROM customer)
+    LEFT JOIN nation ON province_id = n_nationkey
     """,
 )
 def enrich_dim_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 2)
-    users = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    named = enrich(users, nation, "c_nationkey", "n_nationkey", {"n_name": "province_name"})
-    shown = enrich(named, nation, "c_nationkey", "n_nationkey", {"n_name": "shown_name"}, defaults={"shown_name": "unknown"})
-    return shown.drop("c_nationkey")
+    nation, users = table(spark, sf_dir, "nation"), _users_with_province(spark, sf_dir)
+    named = enrich(users, nation, "province_id", "n_nationkey", {"n_name": "province_name"})
+    shown = enrich(named, nation, "province_id", "n_nationkey", {"n_name": "shown_name"}, defaults={"shown_name": "unknown"})
+    return shown.drop("province_id")
 
 
 @query(
     "enrich_dim_inner",
     """
     SELECT c_custkey, c_name, n_name AS province_name
-    FROM customer JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey
+    FROM (SELECT *, CASE WHEN c_custkey % 7 = 2 THEN 1000 ELSE 0 END + c_nationkey AS province_id FROM customer)
+    JOIN nation ON province_id = n_nationkey
     """,
 )
 def enrich_dim_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 2)
-    users = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return enrich(users, nation, "c_nationkey", "n_nationkey", {"n_name": "province_name"}, "inner").drop("c_nationkey")
+    nation, users = table(spark, sf_dir, "nation"), _users_with_province(spark, sf_dir)
+    return enrich(users, nation, "province_id", "n_nationkey", {"n_name": "province_name"}, "inner").drop("province_id")
 
 
 @query(
