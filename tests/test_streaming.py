@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tideline.operators import cdc, facts, logs, metrics
 from tideline.operators.dedup import first_per_key, last_per_window, latest_per_key, retract_versions
-from tideline.operators.joins import interval_join, membership
+from tideline.operators.joins import enrich, interval_join, membership, small_side
 from tideline.operators.routing import latest_rules, router
 from tideline.operators.visitors import first_visits, login_days, repair_visitor_flag
 from tideline.schemas import APP_LOG
 from tideline.sinks.writers import batch_writer, read_snapshot, read_totals, topic_frame, totals_writer, upserter
 from tideline.sources.readers import change_events, json_table, message_files
-from tideline.streaming.runner import late_rows, run, start
+from tideline.streaming import changelog
+from tideline.streaming.runner import late_rows, run, start, with_fresh_side
 from tideline.streaming.state import (
     login_days_stream, newest_after_delay, repair_flag_stream, retract_stream, value_sets_stream,
 )
@@ -328,6 +330,112 @@ def test_totals_follow_the_stream(spark, feed, tmp_path):
     assert bag(read_totals(spark, path, ["key"], ["amount", "n"])) == bag(metrics.preaggregated(batch, ["key"], sums))
 
 
+def _details(n):
+    return [(f"d{i}", f"o{i % 7}", f"s{i % 5}", "sku", "2", "1.50", str(1704067200000 + i), "3.00", None, "0.10", i) for i in range(n)]
+
+
+DETAIL = "id string, order_id string, sku_id string, sku_name string, sku_num string, order_price string, create_time string, split_total_amount string, split_activity_amount string, split_coupon_amount string, ts_ms bigint"
+
+
+@pytest.mark.parametrize("first", ["details", "others"])
+def test_outer_join_changes_replay_to_the_batch_fact(spark, feed, collect, tmp_path, first):
+    """Rows with nulls, taken back when their match comes; repeated and missing matches; any order of arrival."""
+    frames = {
+        "details": feed(_details(30), DETAIL, name="details"),
+        "orders": feed([(f"o{i}", f"u{i}", str(i)) for i in range(6)], "id string, user_id string, province_id string", name="orders"),
+        "activities": feed([(f"d{i}", f"a{i}", f"r{i}") for i in [*range(0, 30, 2), 4, 99]], "order_detail_id string, activity_id string, activity_rule_id string", name="act"),
+        "coupons": feed([(f"d{i}", f"c{i}") for i in range(0, 30, 3)] + [(None, "c")], "order_detail_id string, coupon_id string", name="cou"),
+    }
+    # One file per batch and side: put the details, or all other sides, some batches later.
+    late = ["details"] if first == "others" else ["orders", "activities", "coupons"]
+    for name in late:
+        batch, _ = frames[name]
+        path = str(tmp_path / f"late-{name}")
+        batch.limit(0).coalesce(1).write.parquet(path)
+        for _ in range(3):
+            batch.limit(0).coalesce(1).write.mode("append").parquet(path)
+        rows = batch.collect()
+        for part in (rows[: len(rows) // 2], rows[len(rows) // 2 :]):
+            spark.createDataFrame(part, batch.schema).coalesce(1).write.mode("append").parquet(path)
+        frames[name] = (batch, spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    sides = ["details", "orders", "activities", "coupons"]
+    out, _ = collect(changelog.order_detail_changes(*[frames[s][1] for s in sides]))
+    want = facts.order_detail_fact(*[frames[s][0] for s in sides])
+    assert bag(changelog.replayed(out)) == bag(want)
+    if first == "details":
+        assert out.filter("sign < 0").count() > 0
+    messages = changelog.upsert_messages(out, "id")
+    assert messages.filter("value is null").count() == out.filter("sign < 0").count()
+
+
+def test_changelogs_of_changelogs(spark, feed, collect):
+    """Rows taken back on either side, nulls as keys, and types beyond text."""
+    left = [(1, "a", 1, datetime(2024, 1, 1, 0, 0, 0, 123456)), (2, "b", 1, None), (1, "a", -1, datetime(2024, 1, 1, 0, 0, 0, 123456)), (None, "n", 1, None), (2, "b", 1, None)]
+    right = [(1, 10, 1), (2, 20, 1), (2, 21, 1), (2, 20, -1), (2, 21, -1), (3, 30, 1), (None, 0, 1), (2, 9007199254740993, 1)]
+    _, ls = feed(left, "k bigint, name string, sign int, at timestamp", files=5, name="l")
+    _, rs = feed(right, "rk bigint, v bigint, sign int", files=8, name="r")
+    out, _ = collect(changelog.outer_join_changes(ls, "k", [(rs, "rk", ["v"])]))
+    assert bag(changelog.replayed(out).select("k", "name", "v", "at")) == Counter({(2, "b", 9007199254740993, None): 2, (None, "n", None, None): 1})
+    assert out.filter("k = 1 and sign = 1").first()["at"] == left[0][3]
+
+
+def test_idle_state_goes(spark, feed, collect, tmp_path):
+    """A row that came longer ago than the time to live meets nothing any more."""
+    path = {n: str(tmp_path / n) for n in ("l", "r")}
+    write = lambda n, rows, schema: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path[n])
+    write("l", [("a", 1)], "k string, n int")
+    write("r", [("z", 0)], "rk string, v int")
+    stream = lambda n, schema: spark.readStream.schema(schema).parquet(path[n])
+
+    def go(ttl, out):
+        changes = changelog.outer_join_changes(stream("l", "k string, n int"), "k", [(stream("r", "rk string, v int"), "rk", ["v"])], ttl)
+        writer = changes.writeStream.option("checkpointLocation", str(tmp_path / f"cp-{out}")).trigger(once=True)
+        assert writer.format("parquet").start(str(tmp_path / out)).awaitTermination(60)
+        return spark.read.schema(changes.schema).parquet(str(tmp_path / out))
+
+    for name, ttl in (("short", timedelta(seconds=1)), ("long", timedelta(hours=1))):
+        go(ttl, name)
+    time.sleep(2)
+    write("r", [("a", 5)], "rk string, v int")
+    assert bag(go(timedelta(seconds=1), "short")) == Counter([("a", 1, None, 1)])
+    assert bag(go(timedelta(hours=1), "long")) == Counter([("a", 1, None, 1), ("a", 1, None, -1), ("a", 1, 5, 1)])
+
+
+def test_signed_totals_follow_retractions(spark, feed, collect, tmp_path):
+    """A2, A11 under T1: in batch and stream, totals of a retracted feed are those of the newest versions."""
+    data = [(i, f"k{i % 3}", f"o{i % 4 if i % 5 else 0}", 1, float(i % 7), BASE + timedelta(hours=i)) for i in range(60)]
+    data = [(f"id{i % 20}", k, o, s, a, t) for i, k, o, s, a, t in data]
+    schema = "id string, key string, order_id string, sign int, amount double, ts timestamp"
+    batch, stream = feed(data, schema)
+    newest = latest_per_key(batch, ["id"], ["ts"])
+    want = bag(metrics.province_orders(newest, "ts", "6 hours", "key", "order_id", "amount"))
+    signed = retract_versions(batch, "id", ["ts"], ["amount", "sign"])
+    assert bag(metrics.province_orders_signed(signed, "ts", "6 hours", "key", "order_id", "amount")) == want
+    changes = retract_stream(stream.withWatermark("ts", "30 days"), "id", "ts", ["amount", "sign"], timedelta(days=99))
+    rows, keys = metrics.order_multiplicities(changes, "ts", "6 hours", "key", "order_id")
+    path, sums = str(tmp_path / "m"), {"amount": F.col("amount"), "sign": F.col("sign")}
+    run(rows, str(tmp_path / "cp"), write=totals_writer(path, keys, sums))
+    assert bag(metrics.province_orders_of(read_totals(spark, path, keys, ["amount", "sign"]), "key", "amount")) == want
+
+
+def test_a_changed_label_shows_from_the_next_batch_on(spark, feed, tmp_path):
+    """The dictionary is read anew for every micro-batch."""
+    labels, out = str(tmp_path / "labels"), str(tmp_path / "out")
+    put = lambda version: spark.createDataFrame([("0", f"zero-{version}"), ("1", f"one-{version}")], "dic_code string, dic_name string").write.mode("overwrite").parquet(labels)
+    put(0)
+    _, stream = feed([(str(i % 2), i) for i in range(8)], "code string, n int", files=4)
+    join = lambda df, side: enrich(df, small_side(side), "code", "dic_code", {"dic_name": "label"}, "inner")
+    write = with_fresh_side(lambda session: session.read.parquet(labels), join, batch_writer(out))
+
+    def write_then_change(df, batch_id):
+        write(df, batch_id)
+        put(batch_id + 1)
+
+    run(stream, str(tmp_path / "cp"), write=write_then_change)
+    want = Counter((i, f"{['zero', 'one'][i % 2]}-{i // 2}") for i in range(8))
+    assert bag(spark.read.parquet(out).select("n", "label")) == want
+
+
 def test_processing_time_window(spark, feed, collect):
     """W3."""
     _, stream = feed(rows(10))

@@ -50,6 +50,30 @@ def province_orders(df: DataFrame, ts: str, width: str, key: str, order_id: str,
     return totals.select(*window_bounds(), key, "order_amount", "order_ct")
 
 
+def order_multiplicities(df: DataFrame, ts: str, width: str, key: str, order_id: str) -> tuple[DataFrame, list[str]]:
+    """A2 under T1: rows with the bounds of their window, and the keys by which their signs and amounts add up.
+
+    An order stands in a window as long as more of its rows were put out there than taken back.
+    """
+    keys = ["stt", "edt", "cur_date", key, order_id]
+    return df.withColumn("window", F.window(ts, width)).select("*", *window_bounds()).drop("window"), keys
+
+
+def province_orders_of(multiplicities: DataFrame, key: str, amount: str, sign: str = "sign") -> DataFrame:
+    """A2 under T1: order amount and exact distinct orders from sums of signs per window, key and order."""
+    standing = multiplicities.filter(F.col(sign) > 0)
+    return standing.groupBy("stt", "edt", "cur_date", key).agg(F.sum(amount).alias("order_amount"), F.count("*").alias("order_ct"))
+
+
+def province_orders_signed(df: DataFrame, ts: str, width: str, key: str, order_id: str, amount: str, sign: str = "sign") -> DataFrame:
+    """A2 over the signed rows of ``retract_versions``, with measures negated as well: the totals of the newest versions.
+
+    On streams, keep the sums of ``order_multiplicities`` with ``totals_writer`` and read them by ``province_orders_of``.
+    """
+    rows, keys = order_multiplicities(df, ts, width, key, order_id)
+    return province_orders_of(preaggregated(rows, keys, {amount: F.col(amount), sign: F.col(sign)}), key, amount, sign)
+
+
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 
 

@@ -161,6 +161,25 @@ def order_detail_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "province_order_retracted",
+    f"""
+    SELECT {window_sql('l_shipdate', MONTH_S)}, l_suppkey % 25 AS province_id,
+      CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS order_amount, count(DISTINCT l_orderkey) AS order_ct
+    FROM ({LATEST_LINES}) GROUP BY ALL
+    """,
+)
+def province_order_retracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over every version and every version taken back are those of the newest versions."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "*", line_id().alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+        money("l_extendedprice").alias("amount"), (F.col("l_suppkey") % 25).alias("province_id"),
+    )
+    signed = retract_versions(lines, "id", [*LINE_VERSION, "file", "row"], ["amount"], "sign", ["file", "row"])
+    totals = metrics.province_orders_signed(signed, "l_shipdate", MONTH, "province_id", "l_orderkey", "amount")
+    return as_double(totals, "order_amount")
+
+
 LINE_COLUMNS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 

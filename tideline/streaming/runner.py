@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -33,6 +33,17 @@ def run(df: DataFrame, checkpoint: str, **options) -> StreamingQuery:
     return query
 
 
+def with_fresh_side(
+    side: Callable[[SparkSession], DataFrame], join: Callable[[DataFrame, DataFrame], DataFrame], write: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """J4, S4 for ``foreachBatch``: joins each micro-batch to a side that is read anew for it.
+
+    A static frame in a streaming plan keeps the files that it found when it was made; here a changed label shows from
+    the next batch on, which is what a lookup as of processing time sees.
+    """
+    return lambda df, batch_id: write(join(df, side(df.sparkSession)), batch_id)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped because their window was closed."""
     return sum(
