@@ -132,9 +132,14 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("part") - F.col("n")))
     windows = held.select(*key, "part", F.explode(places).alias("place"))
     windows = fingerprints(windows.select(*key, "place", F.explode(F.slice("part", F.col("place") + 1, F.col("n"))).alias("x")), [*key, "place"])
-    keyed = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select(*key, "place", "fp", "b.block", "b.bits")
+    # Fingerprints within the radius differ by at most a quarter of it in some block. The window changes one of those bits
+    # and the item the others, which takes far fewer rows in the index than if the item changed them all.
+    per_block = 64 // BLOCK_BITS
+    by_window = min(1, radius // per_block)
+    changed = lambda n: F.explode(F.transform(F.lit(changes(n * per_block)), lambda c: F.col("b.bits").bitwiseXOR(c))).alias("bits")
+    keyed = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select(*key, "place", "fp", "b.block", changed(by_window))
     index = parts.select("item_id", "from", "n", "item_fp", F.explode(blocks(F.col("item_fp"))).alias("b"))
-    index = index.select("item_id", "from", "n", "item_fp", "b.block", F.explode(F.transform(F.lit(changes(radius)), lambda c: F.col("b.bits").bitwiseXOR(c))).alias("bits"))
+    index = index.select("item_id", "from", "n", "item_fp", "b.block", changed(radius // per_block - by_window))
     near = keyed.join(index, ["n", "block", "bits"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     near = near.select(*key, "place", "item_id", "from").distinct()
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.registry import query, table
+from tideline.llm.workers import release
 from tideline.session import scratch
 
 BAND_RATIO = 1.4
@@ -133,7 +134,8 @@ def signatures(items: np.ndarray, percent: int) -> np.ndarray:
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Texts become Python strings a few at a time."""
+    """Texts become Python strings a few at a time; what earlier stages left in this worker goes first."""
+    release()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

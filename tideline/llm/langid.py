@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.registry import query, table
+from tideline.llm.workers import release, shared
 
 UNKNOWN = "und"
 TRAIN_ROWS = 20_000
@@ -267,13 +268,13 @@ def label_batch(texts: list[str | None], words: WordScores, penalty: float) -> I
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("lang", T.StringType())]))
-_SCORES: dict[str, WordScores] = {}
+_SCORES: dict[str, WordScores] = shared({})
 
 
 def _word_scores(model: LanguageModel) -> WordScores:
     """One for each worker: that of the last model used there."""
     if model.key not in _SCORES:
-        _SCORES.clear()
+        release()
         _SCORES[model.key] = WordScores(model)
     return _SCORES[model.key]
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tideline.llm.langid import held_out
 from tideline.llm.registry import query, table
+from tideline.llm.workers import release, shared
 from tideline.session import scratch
 
 ORDER = 4
@@ -318,13 +319,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS)
     return ToxicityModel(uuid.uuid4().hex, landmarks, root @ weights, bias, slope, shift)
 
 
-_KNOWN: dict[str, Similarities] = {}
+_KNOWN: dict[str, Similarities] = shared({})
 
 
 def _similarities(key: str, landmarks: list[str]) -> Similarities:
     """One for each worker: that of the last landmarks used there."""
     if key not in _KNOWN:
-        _KNOWN.clear()
+        release()
         _KNOWN[key] = Similarities(landmarks)
     return _KNOWN[key]
 
