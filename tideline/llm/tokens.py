@@ -2,7 +2,8 @@
 
 A text is cut before every single space between two characters that are not white space. The vocabulary's pattern
 always starts a new pre-token there, so the cuts don't change the result, and a word seen before costs one look-up.
-Each Python worker keeps its last words in a table of at most ``MEMO_WORDS`` entries.
+A new word is cut into pre-tokens, and only new pre-tokens are merged by the library. Each Python worker keeps its last
+``MEMO_WORDS`` words and ``MEMO_PIECES`` pre-tokens, and the words of the batch in hand.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -24,12 +26,13 @@ from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Encoding, Tokenizer
 
 from tideline.llm.registry import query, table
 from tideline.session import scratch
 
-MEMO_WORDS = 3 << 19
+MEMO_WORDS = 5 << 18
+MEMO_PIECES = 3 << 18
 SEQUENCE_TOKENS = 1024
 BATCH_SEQUENCES = 64
 END_ID = 2
@@ -42,23 +45,43 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Memo:
+    """Values of strings in two generations: when the young one is full, it becomes the old one, whose values come back
+    when they are asked for again. ``seeds`` are kept for good."""
+
+    def __init__(self, limit: int, seeds: dict[str, object] | None = None):
+        self.half, self.seeds = max(1, limit // 2), seeds or {}
+        self.young, self.old = {}, {}
+
+    def turn(self) -> dict:
+        """The young generation, to be asked at the start of a batch: what is learnt then stays until the next turn."""
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        return self.young
+
+    def learn(self, strings: Iterable[str], encode: Callable[[list[str]], list]) -> None:
+        young, old, seeds, new = self.young, self.old, self.seeds, []
+        for s in strings:
+            value = old.get(s)
+            if value is None:
+                value = seeds.get(s)
+            if value is None:
+                new.append(s)
+            else:
+                young[s] = value
+        for at in range(0, len(new), 8192):
+            part = new[at : at + 8192]
+            young.update(zip(part, encode(part), strict=True))
+
+
 class Words:
     """Values of texts put together from values of their words; ``encode`` gives the values of new words."""
 
     def __init__(self, encode: Callable[[list[str]], list], known: dict[str, object], limit: int = MEMO_WORDS):
-        self.encode, self.limit = encode, limit
-        # Only words without white space at their ends may be looked up by what follows the space.
-        self.after_space = {w[1:]: v for w, v in known.items() if w[:1] == " " and self._regular(w[1:])}
-        self.bare = {w: v for w, v in known.items() if self._regular(w)}
-
-    def learn(self, memo: dict, words: Iterable[str], lead: str) -> None:
-        new = [w for w in words if w not in memo]
-        if len(memo) + len(new) > self.limit:
-            memo.clear()
-            new = list(words)
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            memo.update(zip(part, self.encode([lead + w for w in part]), strict=True))
+        self.encode = encode
+        # Words that follow a single space, which is left out of their key; and first words of texts and lines.
+        self.after = Memo(limit, {w[1:]: v for w, v in known.items() if w[:1] == " " and self._regular(w[1:])})
+        self.bare = Memo(limit, {w: v for w, v in known.items() if self._regular(w)})
 
     @staticmethod
     def _regular(word: str) -> bool:
@@ -66,30 +89,28 @@ class Words:
 
     def values(self, texts: list[str]) -> Iterator[list]:
         """For each text the values of its parts, in order."""
-        after, bare, regular = self.after_space, self.bare, self._regular
-        # A single line break is a pre-token of its own if no other white space is next to it.
+        after, bare, regular = self.after.turn(), self.bare.turn(), self._regular
+        # A single line break is a pre-token of its own if no other white space is next to it: it begins a word here.
         split = [t.replace("\n", " \n").split(" ") for t in texts]
-        unknown = set().union(*split) - after.keys()
-        odd = {w for w in unknown if not regular(w[1:] if w[:1] == "\n" else w)}
+        firsts = [words.pop(0) for words in split]
+        new = set(filterfalse(after.__contains__, chain.from_iterable(split)))
+        odd = {w for w in new if not regular(w[1:] if w[:1] == "\n" else w)}
+        new -= odd
         # Texts with other runs of white space are cut by a pattern; their parts keep the white space.
-        whole = {i: _CUT.split(texts[i]) if texts[i] else [] for i, words in enumerate(split) if odd and not odd.isdisjoint(words)}
-        parts = [p for ps in whole.values() for p in ps]
-        spaced = {p for p in parts if p[0] == " " and regular(p[1:]) and "\n" not in p}
-        rest = {p[1:] for p in spaced}.union(*(words[1:] for i, words in enumerate(split) if i not in whole))
-        lines = {w for w in rest if w[0] == "\n"}
-        # Letters and a full stop or comma after them are two pre-tokens: both are known from elsewhere.
-        stopped = [w for w in rest - after.keys() - lines if w[-1] in ".," and w[:-1].isalpha()]
-        firsts = {words[0] for i, words in enumerate(split) if i not in whole}.union(w[1:] for w in lines)
-        self.learn(bare, firsts.union((p for p in parts if p not in spaced), ("\n", ".", ",")), "")
-        rest.difference_update(stopped)
-        self.learn(after, rest.union(w[:-1] for w in stopped) - lines, " ")
-        after.update((w, after[w[:-1]] + bare[w[-1]]) for w in stopped)
-        after.update((w, bare["\n"] + bare[w[1:]]) for w in lines)
         for i, words in enumerate(split):
-            if i in whole:
-                yield [after[p[1:]] if p in spaced else bare[p] for p in whole[i]]
-            else:
-                yield [bare[words[0]], *map(after.__getitem__, words[1:])]
+            if not regular(firsts[i]) or (odd and not odd.isdisjoint(words)):
+                firsts[i], *rest = _CUT.split(texts[i])
+                split[i] = [p[1:] for p in rest]
+                new.update(filterfalse(after.__contains__, split[i]))
+        lines = [w for w in new if w[0] == "\n"]
+        heads = {"\n", *firsts, *(w[1:] for w in lines)}
+        heads.discard("")
+        self.bare.learn(filterfalse(bare.__contains__, heads), self.encode)
+        new.difference_update(lines)
+        self.after.learn(new, lambda part: self.encode([" " + w for w in part]))
+        after.update((w, bare["\n"] + bare[w[1:]]) for w in lines)
+        for first, words in zip(firsts, split, strict=True):
+            yield [bare[first], *map(after.__getitem__, words)] if first else []
 
 
 @lru_cache(maxsize=2)
@@ -97,6 +118,27 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+class Pieces:
+    """Values of words from those of their pre-tokens, which the library merges one by one; new ones only."""
+
+    def __init__(self, path: str, value: Callable[[Encoding], object], total: Callable[[list], object], limit: int = MEMO_PIECES):
+        self.tokenizer, self.value, self.total, self.memo = _tokenizer(path), value, total, Memo(limit)
+        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(specials) or r"(?!)").search
+
+    def merge(self, pieces: list[str]) -> list:
+        return [self.value(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def __call__(self, words: list[str]) -> list:
+        known, find, special, total = self.memo.turn(), self.find, self.special, self.total
+        # Special strings are found by the library before it looks for pre-tokens: such words are its own.
+        split = [None if special(w) else find(w) for w in words]
+        self.memo.learn(set(filterfalse(known.__contains__, chain.from_iterable(filter(None, split)))), self.merge)
+        own = iter(self.merge([w for w, parts in zip(words, split, strict=True) if parts is None]))
+        return [next(own) if ps is None else known[ps[0]] if len(ps) == 1 else total([known[p] for p in ps]) for ps in split]
+
+
 # --- operator 6: counts ------------------------------------------------------------------------------------------
 
 
@@ -110,29 +152,12 @@ def single_token_strings(path: str) -> list[str]:
     return sorted({s for s, e in zip(strings, found, strict=True) if s and len(e.ids) == 1})
 
 
-class PieceCounter:
+class PieceCounter(Pieces):
     """Token counts of words: pre-tokens that are proven single tokens count 1, only the rest is merged."""
 
-    def __init__(self, path: str, singles: frozenset[str], limit: int = MEMO_WORDS):
-        self.tokenizer, self.singles, self.limit = _tokenizer(path), singles, limit
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.merged: dict[str, int] = {}
-
-    def merge(self, pieces: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def __call__(self, words: list[str]) -> list[int]:
-        singles, merged = self.singles, self.merged
-        # Special strings are found by the library before it looks for pre-tokens: such words are its own.
-        split = [None if any(s in w for s in self.special) else self.find(w) for w in words]
-        new = list({p for parts in split if parts is not None for p in parts if p not in singles and p not in merged})
-        if len(merged) + len(new) > self.limit // 4:
-            merged.clear()
-            new = list({p for parts in split if parts is not None for p in parts if p not in singles})
-        merged.update(zip(new, self.merge(new), strict=True))
-        own = iter(self.merge([w for w, parts in zip(words, split, strict=True) if parts is None]))
-        return [next(own) if parts is None else sum(1 if p in singles else merged[p] for p in parts) for parts in split]
+    def __init__(self, path: str, singles: frozenset[str], limit: int = MEMO_PIECES):
+        super().__init__(path, lambda e: len(e), sum, limit)
+        self.memo.seeds = dict.fromkeys(singles, 1)
 
 
 _COUNTERS: dict[str, Words] = {}
@@ -177,14 +202,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> tuple[Words, np.dtype]:
-    tokenizer = _tokenizer(path)
     kind = id_type(path)
-
-    def encode(words: list[str]) -> list[bytes]:
-        code = "H" if kind.itemsize == 2 else "I"
-        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    return Words(encode, {}), kind
+    code = "H" if kind.itemsize == 2 else "I"
+    return Words(Pieces(path, lambda e: array(code, e.ids).tobytes(), b"".join), {}), kind
 
 
 def id_type(path: str) -> np.dtype:
@@ -260,7 +280,9 @@ class SequenceReader:
 
 
 def _file(folder: str, shard: int) -> tuple[pafs.FileSystem, str]:
-    store, path = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    # Hadoop writes file:/path and s3a://, Arrow file:///path and s3://.
+    uri = re.sub("^s3[an]://", "s3://", folder) if "://" in folder else "file://" + folder.removeprefix("file:")
+    store, path = pafs.FileSystem.from_uri(uri)
     return store, f"{path}/shard-{shard:06d}.arrow"
 
 
