@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Encoding, Tokenizer
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tideline.llm.registry import query, table
 from tideline.session import scratch
@@ -93,7 +94,8 @@ class Words:
         # A single line break is a pre-token of its own if no other white space is next to it: it begins a word here.
         split = [t.replace("\n", " \n").split(" ") for t in texts]
         firsts = [words.pop(0) for words in split]
-        new = set(filterfalse(after.__contains__, chain.from_iterable(split)))
+        found = [[*map(after.get, words)] for words in split]
+        new = {w for words, values in zip(split, found, strict=True) if None in values for w, v in zip(words, values, strict=True) if v is None}
         odd = {w for w in new if not regular(w[1:] if w[:1] == "\n" else w)}
         new -= odd
         # Texts with other runs of white space are cut by a pattern; their parts keep the white space.
@@ -101,7 +103,8 @@ class Words:
             if not regular(firsts[i]) or (odd and not odd.isdisjoint(words)):
                 firsts[i], *rest = _CUT.split(texts[i])
                 split[i] = [p[1:] for p in rest]
-                new.update(filterfalse(after.__contains__, split[i]))
+                found[i] = [*map(after.get, split[i])]
+                new.update(w for w, v in zip(split[i], found[i], strict=True) if v is None)
         lines = [w for w in new if w[0] == "\n"]
         heads = {"\n", *firsts, *(w[1:] for w in lines)}
         heads.discard("")
@@ -109,8 +112,10 @@ class Words:
         new.difference_update(lines)
         self.after.learn(new, lambda part: self.encode([" " + w for w in part]))
         after.update((w, bare["\n"] + bare[w[1:]]) for w in lines)
-        for first, words in zip(firsts, split, strict=True):
-            yield [bare[first], *map(after.__getitem__, words)] if first else []
+        for first, words, values in zip(firsts, split, found, strict=True):
+            if None in values:
+                values = [after[w] if v is None else v for w, v in zip(words, values, strict=True)]
+            yield [bare[first], *values] if first else []
 
 
 @lru_cache(maxsize=2)
@@ -118,23 +123,43 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: fixed values of the format. Printable Latin-1
+    characters other than the space and the soft hyphen stand for themselves, the other bytes for those from 256 on."""
+    other = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255) or b == 173]
+    return {b: 256 + k for k, b in enumerate(other)}
+
+
 class Pieces:
-    """Values of words from those of their pre-tokens, which the library merges one by one; new ones only."""
+    """Values of words from those of their pre-tokens, which the library's model merges one by one; new ones only."""
 
-    def __init__(self, path: str, value: Callable[[Encoding], object], total: Callable[[list], object], limit: int = MEMO_PIECES):
+    def __init__(self, path: str, value: Callable[[list[int]], object], total: Callable[[list], object], limit: int = MEMO_PIECES):
         self.tokenizer, self.value, self.total, self.memo = _tokenizer(path), value, total, Memo(limit)
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        pattern = public_tokenizers.PATTERN
+        self.find = regex.compile(pattern).findall
+        # The same pattern over printable ASCII, where the quicker engine has all of its classes.
+        self.find_plain = re.compile(pattern.replace(r"\s\p{L}\p{N}", r"\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")).findall
         specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(specials) or r"(?!)").search
+        if self.tokenizer.normalizer is not None or not isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
+            raise ValueError(f"{path}: not a byte-level vocabulary without a normalizer")
+
+    def merge(self, words: list[str]) -> list:
+        """Values of whole words, special strings and all."""
+        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def merge(self, pieces: list[str]) -> list:
-        return [self.value(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def merge_pieces(self, pieces: list[str]) -> list:
+        letters, merge, value, space = byte_letters(), self.tokenizer.model.tokenize, self.value, chr(byte_letters()[32])
+        plain = (
+            p.replace(" ", space) if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in pieces
+        )
+        return [value([token.id for token in merge(p)]) for p in plain]
 
     def __call__(self, words: list[str]) -> list:
-        known, find, special, total = self.memo.turn(), self.find, self.special, self.total
+        known, find, plain, special, total = self.memo.turn(), self.find, self.find_plain, self.special, self.total
         # Special strings are found by the library before it looks for pre-tokens: such words are its own.
-        split = [None if special(w) else find(w) for w in words]
-        self.memo.learn(set(filterfalse(known.__contains__, chain.from_iterable(filter(None, split)))), self.merge)
+        split = [None if special(w) else plain(w) if w.isascii() and w.isprintable() else find(w) for w in words]
+        self.memo.learn(set(filterfalse(known.__contains__, chain.from_iterable(filter(None, split)))), self.merge_pieces)
         own = iter(self.merge([w for w, parts in zip(words, split, strict=True) if parts is None]))
         return [next(own) if ps is None else known[ps[0]] if len(ps) == 1 else total([known[p] for p in ps]) for ps in split]
 
@@ -156,7 +181,7 @@ class PieceCounter(Pieces):
     """Token counts of words: pre-tokens that are proven single tokens count 1, only the rest is merged."""
 
     def __init__(self, path: str, singles: frozenset[str], limit: int = MEMO_PIECES):
-        super().__init__(path, lambda e: len(e), sum, limit)
+        super().__init__(path, len, sum, limit)
         self.memo.seeds = dict.fromkeys(singles, 1)
 
 
@@ -204,7 +229,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _encoder(path: str) -> tuple[Words, np.dtype]:
     kind = id_type(path)
     code = "H" if kind.itemsize == 2 else "I"
-    return Words(Pieces(path, lambda e: array(code, e.ids).tobytes(), b"".join), {}), kind
+    return Words(Pieces(path, lambda ids: array(code, ids).tobytes(), b"".join), {}), kind
 
 
 def id_type(path: str) -> np.dtype:
