@@ -117,12 +117,39 @@ def test_main_text(source, text):
         ("<article><p>A</p></article><div class='comments'><article><p>Reader</p></article></div>", "A"),
         ("<aside><article>Teaser</article></aside><p>A</p>", "A"),
         ("<template><main>x</main></template><div class='ad-slot'>Buy</div><div class='header'>H</div><p>A</p>", "A"),
+        ("<article><section id='related-work'>A</section><p class='notice-period'>B</p><p id='search-algorithms'>C</p><h2 id='comments'>D</h2></article>", "A\nB\nC\nD"),
+        ("<article><p>A</p><div class='newsletter-signup'>N</div><div class='share-buttons'>S</div><div id='comments'>C</div><ul class=menu><li>M</ul></article>", "A"),
+        ("<article><p>A</p></article><article class='comment' id='comment-12'><p>Reader</p></article>", "A"),
+        ("<div><p>A</p></div><article class='comment'><p>Reader</p></article>", "A"),
+        ("<main><p>A</p><article class='teaser'>T</article><article class='related-post'>R</article></main>", "A"),
+        ("<p title=' class=ad '>A</p><p data-class='ad'>B</p><p CLASS = Ad>C</p>", "A\nB"),
     ],
 )
 def test_what_hides_and_what_does_not(source, text):
     assert pages.Page(source).main_text() == text
 
 
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        ("<p don't>one</p><p>two</p><p>it's three</p>", "one\ntwo\nit's three"),
+        ("<p>one <a href=\"x\"\">two</a></p>", "one two"),
+        ("<p don't>two", "two"),
+        ("<p title='a > b' alt=\"c > 'd'\">one</p>", "one"),
+        ("<p title=it's>one</p><p>it's two</p>", "one\nit's two"),
+        ("<p title='open>one</p><p>two</p>", "one\ntwo"),
+        ("<p a= >one</p><p =x =\"y\">two</p><img src=a/>three", "one\ntwo\nthree"),
+    ],
+)
+def test_quotes_open_values_only_after_the_equals_sign(source, text):
+    assert pages.Page(source).main_text() == text
+
+
+def test_odd_tags_take_linear_time():
+    for part in ("<a b='", "<a b=\"'", "<a don't ", "<p =", "<a b = "):
+        pages.Page(part * 100_000)
+
+
 def test_templates_of_a_host_go(spark):
     """Without a marked article only the count can tell the template; copies of one page count once."""
     page = "<body><div><b>Shop</b> since 1990</div><div><p>Text {0} here</p><p>Shared paragraph {1}</p></div><div>Call us</div></body>"
