@@ -81,6 +81,36 @@ def test_components_of_long_paths(spark):
     assert got == {**{i: 0 for i in range(121)}, 500: 500, 501: 500, 502: 500}
 
 
+def test_rare_shingles_keep_all_links_and_rule_out_the_rest(spark):
+    """Near copies of one text, most of them with more edits than a link allows: few are left, and every link is."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(140)]
+    rows = []
+    for i in range(400):
+        copy = list(base)
+        for _ in range(rng.choice([2, 3, 4, 4, 5, 5, 6])):
+            copy[rng.randrange(len(copy))] += rng.choice("abcdefgh")
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = spark.createDataFrame([(i, i) for i, _ in rows], "node long, component long")
+    marks = {r.node: r for r in jaccard.rarest(nodes, docs, 4, 85).collect()}
+    sets = [jaccard.shingle_set(t, 4) for _, t in rows]
+
+    def candidates(a, b):
+        if a not in marks or b not in marks:
+            return False
+        a, b = marks[a], marks[b]
+        least = -(-85 * (a.size + b.size) // 185)
+        heads = [set(m.rare[: max(m.common - least + 1, 0)]) for m in (a, b)]
+        return min(a.common, b.common) >= least and bool(heads[0] & heads[1])
+
+    pairs = [(i, j) for i in range(400) for j in range(i)]
+    links = [p for p in pairs if jaccard.linked(sets[p[0]], sets[p[1]], 85)]
+    assert links and all(candidates(*p) for p in links)
+    assert sum(candidates(*p) for p in pairs) < len(pairs) // 8
+    assert sorted(tuple(r) for r in jaccard.jaccard_components(docs, 4, 85).collect()) == brute(rows, 4, 85)
+
+
 def test_signatures_shared_by_all_links():
     """What the join rests on: two sets at the threshold share as many signatures as their band asks for."""
     import numpy as np

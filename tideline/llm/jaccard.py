@@ -221,13 +221,16 @@ def slices(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(cut, "signature bigint, node bigint, first bigint, edge boolean")
 
 
+def if_small(ids: DataFrame) -> DataFrame:
+    """Broadcast if at most ``BROADCAST_IDS`` rows (8 MB for each column of ids); else a join shuffles."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def compare(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the distinct pairs (a, b) of doc_ids that are linked, by their whole texts."""
     spark = pairs.sparkSession
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # at most 8 MB of ids; else the join shuffles
-        ids = F.broadcast(ids)
-    texts = _rows(docs).join(ids, "doc_id", "left_semi")
+    texts = _rows(docs).join(if_small(ids), "doc_id", "left_semi")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -248,6 +251,41 @@ def compare(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
     return kept(spark, found, "links")
 
 
+def least_common(a: str, b: str, percent: int) -> str:
+    """SQL: the smallest number of common shingles of linked sets of ``a`` and ``b`` shingles."""
+    return f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}"
+
+
+def rarest(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, size, common, rare: of those sets of ``nodes`` (node, component) that can be linked to another component.
+
+    ``common`` counts the shingles that sets of other components have too; ``rare`` holds as many of the rarest as any
+    link needs to share one of. Shingles are 32-bit codes here: codes that collide only make sets look more alike.
+    A node that stands for several texts has a row for each.
+    """
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            sets = [(shingle_set(t, words) >> _U64(32)).astype("<u4").view("<i4") for t in batch.column(2).to_pylist()]
+            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)], dtype=np.int32), pa.array(np.concatenate([np.empty(0, "<i4"), *sets]), pa.int32()))
+            yield pa.record_batch([batch.column(0), batch.column(1), lists], ["node", "component", "codes"])
+
+    # Rows that repeat a text count their shingles again, which only leaves more candidates.
+    texts = _rows(docs).withColumnRenamed("doc_id", "node").join(if_small(nodes), "node").select("node", "component", "text")
+    sets = texts.mapInArrow(codes, "node bigint, component bigint, codes array<int>")
+    sets = kept(docs.sparkSession, sets.withColumn("of", F.xxhash64("codes")), "codes")
+    rows = sets.select("node", "of", "component", F.explode("codes").alias("code"))
+    spread = rows.groupBy("code").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    spread = spread.filter("low <> high").select("code", F.col("n").cast("int").alias("n"))
+    shared = rows.select("node", "of", "code").join(spread, "code").groupBy("node", "of")
+    shared = shared.agg(F.count("*").cast("int").alias("common"), F.sort_array(F.collect_list(F.struct("n", "code"))).alias("by_n"))
+    sizes = sets.select("node", "of", F.size("codes").alias("size")).distinct()
+    linkable = shared.join(sizes, ["node", "of"]).filter(f"100 * common >= {percent} * size")
+    # Shingles that no other component has come first of all, and are left out: no link shares them.
+    first = f"transform(slice(by_n, 1, common - ({percent} * size + 99) div 100 + 1), x -> x.code)"
+    return linkable.select("node", "size", "common", F.expr(first).alias("rare"))
+
+
 def kept(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read again: cuts the lineage, and later uses don't compute it anew."""
     folder = scratch(spark, label)
@@ -314,8 +352,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     last = Window.partitionBy("node", "band").orderBy(F.desc("size"), "signature")
     open_rows = open_rows.withColumn("at", F.row_number().over(last)).filter(F.col("at") >= F.get(F.lit(shared_by_band(percent)), F.col("band")))
     open_rows = kept(spark, open_rows.drop("at", "size", "band"), "open")
-    left, right = (open_rows.select("signature", F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("a", "b"))
-    cross = left.join(right, "signature").filter("of_a < of_b").select("a", "b").distinct()
+    nodes_open = kept(spark, open_rows.select("node", "component").distinct(), "nodes")
+    marks = kept(spark, rarest(nodes_open, docs, words, percent), "marks")
+    open_rows = open_rows.join(marks, "node")
+    left, right = (open_rows.select("signature", *(F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "size", "common", "rare"))) for n in "ab")
+    least = least_common("size_a", "size_b", percent)
+    heads = (f"slice(rare_{n}, 1, cast(greatest(common_{n} - {least} + 1, 0) as int))" for n in "ab")
+    linkable = f"component_a < component_b and least(common_a, common_b) >= {least} and arrays_overlap({', '.join(heads)})"
+    cross = left.join(right, "signature").filter(linkable).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
     cross = kept(spark, cross, "pairs")
     more = compare(cross, docs, words, percent)
