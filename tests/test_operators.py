@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.functions import search
 from tideline.functions import time as tm
 from tideline.operators import cdc, joins, logs, metrics, moderation, routing, scoring
 from tideline.operators.dedup import distinct_rows, first_per_key, latest_per_key, retract_versions
@@ -222,6 +225,34 @@ def test_contained_words_over_chunk_ends(spark):
     assert found == {t: sorted({w for w in listed if w and w in t}, key=lambda w: (t.find(w), w)) for t in texts}
 
 
+def test_contained_words_move_no_text(spark):
+    """A list that is small enough is looked up where the texts are, one that isn't by joins, with the same result."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab😀é\n ") for _ in range(rng.randrange(300))) for _ in range(40)] + ["", None]
+    listed = ["".join(rng.choice("ab😀é\n ") for _ in range(n % 9)) for n in range(60)] + [None]
+    words = spark.createDataFrame([(w,) for w in listed], "word string")
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "t string")
+    sent = moderation.contained_words(docs, words, "t", "found")
+    assert not re.search("Exchange|Join|Generate", sent._jdf.queryExecution().executedPlan().toString())
+    want = [(t, sorted({w for w in listed if w and t and w in t}, key=lambda w: (t.find(w), w))) for t in texts * 2]
+    by_text = lambda rows: sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1]))
+    assert by_text((r.t, r.found) for r in sent.collect()) == by_text(want)
+    assert by_text((r.t, r.found) for r in moderation.contained_words(docs, words, "t", "found", max_words=5).collect()) == by_text(want)
+
+
+def test_word_search_over_segments(monkeypatch):
+    rng = random.Random(2)
+    for size in (7, 64):
+        monkeypatch.setattr(search, "SEGMENT", size)
+        for _ in range(40):
+            letters = rng.choice(["ab", "abc é", "a😀é\n"])
+            draw = lambda most: "".join(rng.choice(letters) for _ in range(rng.randrange(most)))
+            texts = ["", *[draw(60) if rng.random() > 0.1 else None for _ in range(rng.randrange(30))]]
+            listed = [draw(9) for _ in range(rng.randrange(20))]
+            found = search.WordSearch(listed).of_texts(pa.array(["skipped", *texts], pa.string()).slice(1)).to_pylist()
+            assert found == [sorted({w for w in listed if w and t and w in t}, key=lambda w: (t.find(w), w)) for t in texts]
+
+
 def test_dimension_chain(spark):
     """A chain equals its look-ups one by one, misses included; a birthday by a second key of the rows."""
     rows = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (None, 10), (9, None)], "sku int, user int")
