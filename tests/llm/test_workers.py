@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
 from tideline.llm import langid, toxicity, workers
 
 
@@ -19,3 +24,28 @@ def test_a_new_model_frees_the_other_stage():
     assert not langid._SCORES and toxicity._similarities("a", ["bad", "worse"]) is first
     assert toxicity._similarities("b", ["bad"]) is not first and list(toxicity._KNOWN) == ["b"]
     workers.release()
+
+
+def test_text_blocks_hold_all_texts_in_order():
+    texts = ["", None, *["word " * k for k in range(300)], None]
+    blocks = list(workers.text_blocks(pa.array(["skipped", *texts], pa.string()).slice(1), 500))
+    assert [t for b in blocks for t in b] == texts and all(sum(len(t or "") // 6 for t in b[:-1]) < 500 for b in blocks)
+    assert list(workers.text_blocks(pa.array([], pa.string()), 500)) == []
+
+
+@pytest.mark.parametrize("stage", ["langid", "toxicity"])
+def test_a_task_leaves_no_table_in_its_worker(spark, stage):
+    docs = spark.createDataFrame([(f"some words {k}",) for k in range(8)], "text string")
+    if stage == "langid":
+        model = langid.LanguageModel("left", ["a", "b"], {}, np.zeros((1, 2), dtype=np.float32), {})
+        labelled = langid.label_languages(docs, model)
+    else:
+        labelled = toxicity.score_toxicity(docs, toxicity.ToxicityModel("left", ["bad"], np.ones(1), 0.0, 1.0, 0.0))
+    assert labelled.collect()
+
+    @F.arrow_udf("int")
+    def held(rows: pa.Array) -> pa.Array:
+        return pa.array([sum(map(len, workers.HELD))] * len(rows), pa.int32())
+
+    # Of the workers that Spark uses again, none holds a table.
+    assert {r[0] for r in spark.range(0, 64, 1, 8).select(held("id")).collect()} == {0}

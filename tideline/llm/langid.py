@@ -15,21 +15,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.registry import query, table
-from tideline.llm.workers import release, shared
+from tideline.llm.workers import release, shared, text_blocks
 
 UNKNOWN = "und"
 TRAIN_ROWS = 20_000
 MAX_GRAMS = 200_000
 SWITCH_PENALTY = 12.0
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 17
 WORDS_AT_ONCE = 1 << 17
+# Texts whose words are counted together.
+COUNT_ROWS = 1024
 
 # First code points of script blocks, by the Unicode block list; letters before the first are Latin.
 SCRIPTS = [
@@ -91,7 +92,7 @@ def fit_languages(rows: DataFrame, max_rows: int = TRAIN_ROWS, max_grams: int =
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, Counter] = {}
-        for batch in batches:
+        for batch in (b.slice(at, COUNT_ROWS) for b in batches for at in range(0, b.num_rows, COUNT_ROWS)):
             words: dict[str, Counter] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words.setdefault(lang, Counter()).update(text.split())
@@ -268,6 +269,10 @@ def label_batch(texts: list[str | None], words: WordScores, penalty: float) -> I
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("lang", T.StringType())]))
+FOUND = pa.struct([
+    ("lang_pred", pa.string()), ("score", pa.float64()),
+    ("lang_spans", pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))),
+])
 _SCORES: dict[str, WordScores] = shared({})
 
 
@@ -288,18 +293,19 @@ def label_languages(docs: DataFrame, model: LanguageModel, text: str = "text", p
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", SPANS)]))
-    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", SPANS)])
+
+    @F.arrow_udf(kind)
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = _word_scores(sent.value)
-        for batch in batches:
-            texts, rows, held, size = batch.tolist(), [], [], 0
-            for at, t in enumerate(texts):
-                held.append(t)
-                size += len(t) // 6 if t else 0
-                if size >= WORDS_AT_ONCE or at == len(texts) - 1:
-                    rows.extend(label_batch(held, words, penalty))
-                    held, size = [], 0
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "lang_spans"])
+        try:
+            for batch in batches:
+                parts = [pa.array([], FOUND)]
+                for block in text_blocks(batch, WORDS_AT_ONCE):
+                    parts.append(pa.array([dict(zip(FOUND.names, row, strict=True)) for row in label_batch(block, words, penalty)], FOUND))
+                yield pa.concat_arrays(parts)
+        finally:
+            release()  # Spark keeps workers that wait, more of them than it runs at a time
 
     found = docs.withColumn("_found", label(F.col(text)))
     return found.withColumns({c: F.col("_found")[c] for c in ("lang_pred", "score", "lang_spans")}).drop("_found")

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tideline.llm.langid import held_out
 from tideline.llm.registry import query, table
-from tideline.llm.workers import release, shared
+from tideline.llm.workers import release, shared, text_blocks
 from tideline.session import scratch
 
 ORDER = 4
@@ -36,7 +36,7 @@ MAX_CANDIDATES = 50_000
 PIECE = 26
 # Similarities below this count as none: most words are like no landmark.
 FLOOR = 0.3
-MEMO_WORDS = 1 << 20
+MEMO_WORDS = 1 << 17
 THRESHOLD = 0.3
 WORDS_AT_ONCE = 1 << 17
 
@@ -330,25 +330,17 @@ def _similarities(key: str, landmarks: list[str]) -> Similarities:
     return _KNOWN[key]
 
 
-def _blocks(batch: pd.Series) -> Iterator[list[str | None]]:
-    held, size = [], 0
-    for text in batch.tolist():
-        held.append(text)
-        size += len(text) // 6 if text else 1
-        if size >= WORDS_AT_ONCE:
-            yield held
-            held, size = [], 0
-    yield held
-
-
 def with_similarities(rows: DataFrame, landmarks: list[str]) -> DataFrame:
     key = uuid.uuid4().hex
 
-    @F.pandas_udf("array<float>")
-    def like(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def like(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _similarities(key, landmarks)
-        for batch in batches:
-            yield pd.Series([row for block in _blocks(batch) for row in known.of_texts(block)])
+        try:
+            for batch in batches:
+                yield pa.array([row for block in text_blocks(batch, WORDS_AT_ONCE) for row in known.of_texts(block)], pa.list_(pa.float32()))
+        finally:
+            release()
 
     return rows.withColumn("like", like("text"))
 
@@ -358,12 +350,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", th
     these names are replaced. Null and empty texts are like no landmark and get the score of that. No rows: no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _similarities(sent.value.key, sent.value.landmarks)
-        for batch in batches:
-            parts = [sent.value.scores(known.of_texts(block)) for block in _blocks(batch) if block]
-            yield pd.Series(np.concatenate([*parts, np.zeros(0)]))
+        try:
+            for batch in batches:
+                parts = [sent.value.scores(known.of_texts(block)) for block in text_blocks(batch, WORDS_AT_ONCE)]
+                yield pa.array(np.concatenate([*parts, np.zeros(0)]), pa.float64())
+        finally:
+            release()  # Spark keeps workers that wait, more of them than it runs at a time
 
     scored = docs.withColumn("score", score(F.col(text)))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
