@@ -9,11 +9,12 @@ from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tideline.functions import search
 from tideline.functions import time as tm
-from tideline.operators import cdc, joins, logs, metrics, moderation, routing, scoring
+from tideline.operators import cdc, facts, joins, logs, metrics, moderation, routing, scoring
 from tideline.operators.dedup import distinct_rows, first_per_key, latest_per_key, retract_versions
 from tideline.operators.dims import Step, enrich_chain, flat_dictionary, fold, row_count, scan
 from tideline.operators.reshape import pivot, unpivot
@@ -21,7 +22,8 @@ from tideline.operators.scoring import DEFAULT_BRAND, brand_weight_lookup, weigh
 from tideline.operators.visitors import login_days, repair_visitor_flag
 from tideline.session import scratch, scratch_root
 from tideline.sinks.writers import (
-    batch_writer, compact, day_writer, destination_writer, exists, read_snapshot, upsert_batch, write_by_day, write_csv,
+    OPEN_FOLDERS, batch_writer, compact, day_writer, destination_writer, exists, land_by_table, read_snapshot, upsert_batch, write_by_day,
+    write_by_destination, write_csv,
 )
 
 BASE = datetime(2024, 1, 1)
@@ -507,3 +509,29 @@ def test_busy_key_leaves_a_task_as_one_row(spark, shuffled):
         plan = out._jdf.queryExecution().executedPlan().toString()
         exchange = plan.index("hashpartitioning(key")
         assert where in plan[exchange:]
+
+
+OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """Of each Parquet write, the number of folders a task may keep open and the plan of the rows."""
+    seen = []
+    parquet = DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        seen.append((int(self._spark.conf.get(OPEN)), self._df._jdf.queryExecution().executedPlan().toString()))
+        return parquet(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    return seen
+
+
+def test_destinations_are_written_without_a_sort(spark, written):
+    before = spark.conf.get(OPEN)
+    rows = spark.range(600).select(F.concat(F.lit("t"), (F.col("id") % (3 * OPEN_FOLDERS)).cast("string")).alias("sink_table"), "id")
+    path = scratch(spark, "folders")
+    write_by_destination(rows, path)
+    assert [n for n, _ in written] == [OPEN_FOLDERS] and spark.conf.get(OPEN) == before
+    assert bag(spark.read.parquet(path).select("sink_table", "id")) == bag(rows)  # more folders than may be open

@@ -7,7 +7,8 @@ stand below the id of the run, which a restart from the same checkpoint keeps.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from tideline.operators.metrics import preaggregated
 
 ERROR_BUCKET = "error_bucket"
 FILE_ROWS = 5_000_000
+# Folders that a task writes to at the same time; with more of them Spark sorts the rest.
+OPEN_FOLDERS = 16
 BOM = "﻿"
 
 
@@ -57,6 +60,22 @@ def balanced(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
+@contextmanager
+def open_folders(spark: SparkSession, most: int = OPEN_FOLDERS) -> Iterator[None]:
+    """While it lasts, a task writes to several folders at a time instead of sorting its rows by folder, which would hold
+    them all. A session's own setting wins."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    if int(before):
+        yield
+        return
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_id(spark: SparkSession) -> str:
     """Inside ``foreachBatch`` the id of the streaming query, which its checkpoint keeps; elsewhere ``batch``."""
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
@@ -72,7 +91,8 @@ def write_by_destination(
 ) -> None:
     """K2 on files: one folder per destination; with ``batch_id`` below a folder that a replay replaces."""
     target, mode = (path, mode) if batch_id is None else (_batch_folder(frame, path, batch_id), "overwrite")
-    balanced(frame, column).write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(target)
+    with open_folders(frame.sparkSession):
+        balanced(frame, column).write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(column).parquet(target)
 
 
 def destination_writer(path: str, column: str = "sink_table") -> Callable[[DataFrame, int], None]:
