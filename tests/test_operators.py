@@ -535,3 +535,22 @@ def test_destinations_are_written_without_a_sort(spark, written):
     write_by_destination(rows, path)
     assert [n for n, _ in written] == [OPEN_FOLDERS] and spark.conf.get(OPEN) == before
     assert bag(spark.read.parquet(path).select("sink_table", "id")) == bag(rows)  # more folders than may be open
+
+
+def test_events_are_landed_where_they_are_parsed(spark, written):
+    messages = spark.range(40, numPartitions=3).select(
+        cdc.envelope(F.concat(F.lit("t"), (F.col("id") % 5).cast("string")), {"id": F.col("id")}, ts_ms=F.col("id")).alias("value")
+    )
+    path = scratch(spark, "landed")
+    land_by_table(cdc.parse_cdc(messages), path)
+    assert [n for n, _ in written] == [OPEN_FOLDERS] and "Exchange" not in written[0][1]
+    landed = cdc.of_table(spark.read.parquet(path), "t3").select(F.col("after")["id"], "ts_ms")
+    assert set(map(tuple, landed.collect())) == {(str(k), k) for k in range(3, 40, 5)}
+
+
+def test_joins_of_the_order_detail_move_no_derived_column(spark):
+    text = lambda *names: spark.createDataFrame([], ", ".join(f"{n} string" for n in names) + ", ts_ms bigint")
+    sides = [text(*cdc.CDC_COLUMNS[t]) for t in ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")]
+    plan = facts.order_detail_fact(*sides)._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("Join") :]
+    assert "date_id" not in below and "split_original_amount" not in below

@@ -25,9 +25,6 @@ def order_detail_fact(
     Streaming input needs an ``event_time`` column with a watermark on every side and a time ``bound``; an
     unmatched activity or coupon is then emitted as null once the watermark has passed the bound.
     """
-    od = details.withColumn("split_original_amount", amount_product("sku_num", "order_price")).withColumn(
-        "date_id", day_text("create_time")
-    )
     timed = lambda df, name: [F.col("event_time").alias(name)] if bound is not None else []
     oi = orders.select(F.col("id").alias("_oid"), "user_id", "province_id", *timed(orders, "_ot"))
     act = activities.select(F.col("order_detail_id").alias("_aid"), "activity_id", "activity_rule_id", *timed(activities, "_at"))
@@ -39,11 +36,13 @@ def order_detail_fact(
         return F.col(name).between(F.col("event_time") - F.lit(bound), F.col("event_time") + F.lit(bound))
 
     joined = (
-        od.join(oi, (F.col("order_id") == F.col("_oid")) & near("_ot"))
+        details.join(oi, (F.col("order_id") == F.col("_oid")) & near("_ot"))
         .join(act, (F.col("id") == F.col("_aid")) & near("_at"), "left")
         .join(cou, (F.col("id") == F.col("_cid")) & near("_ct"), "left")
     )
-    return joined.select(*ORDER_DETAIL_FACT)
+    # Derived columns come last, so that the joins don't move them.
+    derived = {"split_original_amount": amount_product("sku_num", "order_price"), "date_id": day_text("create_time")}
+    return joined.withColumns(derived).select(*ORDER_DETAIL_FACT)
 
 
 def payment_fact(payments: DataFrame, details: DataFrame, dictionary: DataFrame, pay_ts: str, detail_ts: str) -> DataFrame:

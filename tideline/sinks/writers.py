@@ -153,8 +153,13 @@ def read_totals(spark: SparkSession, path: str, keys: list[str], names: list[str
 
 
 def land_by_table(changes: DataFrame, path: str, mode: str = "append") -> None:
-    """Parsed change events in a folder per source table, so that one table is read by partition pruning."""
-    balanced(changes.withColumn("table", F.col("source")["table"]), "table").write.mode(mode).partitionBy("table").parquet(path)
+    """Parsed change events in a folder per source table, so that one table is read by partition pruning.
+
+    The events are the widest rows there are, so they are written where they are parsed, a file per task and table.
+    """
+    named = changes.withColumn("table", F.col("source")["table"])
+    with open_folders(changes.sparkSession):
+        named.write.mode(mode).option("compression", "zstd").partitionBy("table").parquet(path)
 
 
 DELETED = "_deleted"
