@@ -113,7 +113,8 @@ def write_by_day(
     """K7: text files in ``day=yyyyMMdd`` folders; with ``batch_id`` below a folder that a replay replaces."""
     rows = df.select(F.col(value).alias("value"), day_bucket(value, field).alias("day"))
     target, mode = (path, mode) if batch_id is None else (_batch_folder(df, path, batch_id), "overwrite")
-    balanced(rows, "day").write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(target)
+    with open_folders(df.sparkSession):
+        balanced(rows, "day").write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").text(target)
 
 
 def day_writer(path: str, field: str, value: str = "value") -> Callable[[DataFrame, int], None]:
