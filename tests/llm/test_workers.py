@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.llm import langid, toxicity, workers
+from tideline.llm import jaccard, langid, toxicity, workers
 
 
 def test_release_empties_every_cache():
@@ -49,3 +49,51 @@ def test_a_task_leaves_no_table_in_its_worker(spark, stage):
 
     # Of the workers that Spark uses again, none holds a table.
     assert {r[0] for r in spark.range(0, 64, 1, 8).select(held("id")).collect()} == {0}
+
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.mark.parametrize("stage", ["langid", "toxicity", "jaccard"])
+def test_batches_end_by_bytes(spark, stage):
+    """Long texts: no batch holds all rows that Spark would put into it, and no row is lost."""
+    spark.conf.unset(LIMIT)
+    docs = spark.range(2000).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 1200) as text").coalesce(1)
+    few = docs.limit(4)
+    if stage == "langid":
+        langid.label_languages(few, langid.LanguageModel("few", ["a"], {}, np.zeros((1, 1), dtype=np.float32), {}))
+    elif stage == "toxicity":
+        toxicity.score_toxicity(few, toxicity.ToxicityModel("few", ["bad"], np.ones(1), 0.0, 1.0, 0.0))
+    else:
+        jaccard.jaccard_components(few)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    found = docs.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in found) == 2000 and sum(r.bytes for r in found) > 3 * workers.BATCH_BYTES
+    assert max(r.bytes for r in found) < 1.1 * workers.BATCH_BYTES
+
+
+def test_a_limit_of_the_session_stays(spark):
+    spark.conf.set(LIMIT, "12345")
+    workers.bound_batches(spark)
+    assert spark.conf.get(LIMIT) == "12345"
+    spark.conf.unset(LIMIT)
+
+
+def test_a_released_task_starts_and_ends_without_tables():
+    seen = []
+
+    def task(batches):
+        seen.append(dict(langid._SCORES))
+        langid._SCORES["own"] = object()
+        yield from batches
+
+    langid._SCORES["left"] = object()
+    assert list(workers.released(task)(iter([1, 2]))) == [1, 2] and seen == [{}] and not langid._SCORES
+    early = workers.released(task)(iter([1, 2]))
+    assert next(early) == 1 and langid._SCORES
+    early.close()
+    assert not langid._SCORES

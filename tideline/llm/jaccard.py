@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.registry import query, table
-from tideline.llm.workers import release
+from tideline.llm.workers import bound_batches, released
 from tideline.session import scratch
 
 BAND_RATIO = 1.4
@@ -134,8 +134,7 @@ def signatures(items: np.ndarray, percent: int) -> np.ndarray:
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Texts become Python strings a few at a time; what earlier stages left in this worker goes first."""
-    release()
+    """Texts become Python strings a few at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -154,7 +153,7 @@ def shingle_sizes(docs: DataFrame, words: int) -> DataFrame:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_key"])
 
-    return _rows(docs).mapInArrow(sizes, "doc_id bigint, n_shingles bigint, set_key binary")
+    return _rows(docs).mapInArrow(released(sizes), "doc_id bigint, n_shingles bigint, set_key binary")
 
 
 def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -180,10 +179,10 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 nodes = np.repeat(batch.column(0).to_numpy()[at : at + 512], [len(a) for a in part])
                 yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.concatenate(part))], ["node", "signature"])
 
-    signed = _rows(docs).mapInArrow(sign, "doc_id bigint, set_key binary, signs binary")
+    signed = _rows(docs).mapInArrow(released(sign), "doc_id bigint, set_key binary, signs binary")
     # Copies of a set meet here, most of them within their task; one row for each set goes on.
     distinct = signed.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.min("signs").alias("signs"))
-    return distinct.select("node", "signs").mapInArrow(spread, "node bigint, signature bigint")
+    return distinct.select("node", "signs").mapInArrow(released(spread), "node bigint, signature bigint")
 
 
 def slices(rows: DataFrame) -> DataFrame:
@@ -218,7 +217,7 @@ def slices(rows: DataFrame) -> DataFrame:
         if group is not None:
             yield rows_of([group], [center], [center], [True])
 
-    return ordered.mapInArrow(cut, "signature bigint, node bigint, first bigint, edge boolean")
+    return ordered.mapInArrow(released(cut), "signature bigint, node bigint, first bigint, edge boolean")
 
 
 def if_small(ids: DataFrame) -> DataFrame:
@@ -247,7 +246,7 @@ def compare(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
 
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    found = both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
+    found = both.select("a", "b", "text_a", "text_b").mapInArrow(released(check), "a bigint, b bigint")
     return kept(spark, found, "links")
 
 
@@ -272,7 +271,7 @@ def rarest(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
 
     # Rows that repeat a text count their shingles again, which only leaves more candidates.
     texts = _rows(docs).withColumnRenamed("doc_id", "node").join(if_small(nodes), "node").select("node", "component", "text")
-    sets = texts.mapInArrow(codes, "node bigint, component bigint, codes array<int>")
+    sets = texts.mapInArrow(released(codes), "node bigint, component bigint, codes array<int>")
     sets = kept(docs.sparkSession, sets.withColumn("of", F.xxhash64("codes")), "codes")
     rows = sets.select("node", "of", "component", F.explode("codes").alias("code"))
     spread = rows.groupBy("code").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
@@ -327,6 +326,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     doc_id have the component of their own set. A null doc_id takes no part: its component is null. No rows: no rows.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     sizes = kept(spark, shingle_sizes(docs, words), "sizes")
     nodes = sizes.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.registry import query, table
-from tideline.llm.workers import release, shared, text_blocks
+from tideline.llm.workers import bound_batches, release, released, shared, text_blocks
 
 UNKNOWN = "und"
 TRAIN_ROWS = 20_000
@@ -85,6 +85,7 @@ def fit_languages(rows: DataFrame, max_rows: int = TRAIN_ROWS, max_grams: int =
     Whole texts are counted. What reaches the driver is bounded: counts of the ``max_grams`` commonest trigrams and of
     scripts. No rows: a model without languages, which predicts ``und`` for every text.
     """
+    bound_batches(rows.sparkSession)
     rows = rows.select("text", "lang")
     n = rows.count()
     if n > max_rows:
@@ -107,7 +108,7 @@ def fit_languages(rows: DataFrame, max_rows: int = TRAIN_ROWS, max_grams: int =
         for lang, own in grams.items():
             yield pa.record_batch([pa.array([lang] * len(own)), pa.array(list(own)), pa.array(list(own.values()), pa.int64())], ["lang", "gram", "n"])
 
-    found = rows.mapInArrow(count, "lang string, gram string, n bigint").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(released(count), "lang string, gram string, n bigint").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     by_gram = found.groupBy("gram").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
     is_script = F.col("gram").startswith("script ")
     top = by_gram.orderBy(F.desc(is_script), F.desc("total"), "gram").limit(max_grams + len(SCRIPTS)).collect()
@@ -291,6 +292,7 @@ def label_languages(docs: DataFrame, model: LanguageModel, text: str = "text", p
     ``score``: share of the letters in spans of that language. Of equally good languages, the first by name. Texts of
     any length are labelled whole.
     """
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", SPANS)])

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tideline.llm.langid import held_out
 from tideline.llm.registry import query, table
-from tideline.llm.workers import release, shared, text_blocks
+from tideline.llm.workers import bound_batches, release, released, shared, text_blocks
 from tideline.session import scratch
 
 ORDER = 4
@@ -208,7 +208,7 @@ def _counts(rows: DataFrame, only: frozenset[str] | None) -> DataFrame:
         for toxic, own in enumerate(found):
             yield pa.record_batch([pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())], ["gram", "toxic", "n"])
 
-    found = rows.select("text", "toxic").mapInArrow(count, "gram string, toxic int, n bigint")
+    found = rows.select("text", "toxic").mapInArrow(released(count), "gram string, toxic int, n bigint")
     return found.groupBy("gram", "toxic").agg(F.sum("n").alias("n"))
 
 
@@ -289,6 +289,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS)
     the model gives their share as every score.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     marked = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     n = marked.count()
     if n > max_rows:
@@ -348,6 +349,7 @@ def with_similarities(rows: DataFrame, landmarks: list[str]) -> DataFrame:
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Adds score (0 to 1) and predicted (1 if score >= ``threshold``); other columns and repeated rows stay, columns of
     these names are replaced. Null and empty texts are like no landmark and get the score of that. No rows: no rows."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.DoubleType())
