@@ -28,6 +28,35 @@ def test_best_path_is_the_best_of_all():
             at += n
 
 
+def test_words_are_scored_together_as_one_by_one(monkeypatch):
+    words = ["Straße", "ΟΔΟΣ", "İ", "a1b2", "x²", "_", "12", "^a$", "e\u0301", "漢字かな", "abбв", "бвa", "\U0001d400\U00010400", "Ǆ", "ꬰ", "ab", "AB", "\x00a", "слово", "a" * 9000]
+    rng = np.random.default_rng(5)
+    words += ["".join(rng.choice(list("abcäßбΣ漢-_7'"), rng.integers(1, 9))) for _ in range(400)]
+    words = list(dict.fromkeys(words))
+    letters = [langid.letters_of(w) for w in words]
+    grams = sorted({g for word in letters if word for g in langid.grams_of(word)})[::2]
+    scripts = {"latin": np.array([True, True, False]), "cyrillic": np.array([False, False, True]), "han": np.zeros(3, dtype=bool)}
+    model = langid.LanguageModel("m", ["a", "b", "c"], {g: k for k, g in enumerate(grams)}, -rng.random((len(grams) + 1, 3)).astype(np.float32), scripts)
+    want = np.zeros((len(words), 3), dtype=np.float32)
+    for k, word in enumerate(letters):
+        if word:
+            sums = np.add.reduceat(model.scores[[model.grams.get(g, len(grams)) for g in langid.grams_of(word)]], [0], axis=0)[0]
+            users = scripts.get(langid.script_of(word), np.ones(3, dtype=bool))
+            want[k] = np.where(users if users.any() else True, sums - sums.max(), -200.0)
+
+    def one_by_one(word):
+        raise AssertionError("a step in Python for each word")
+
+    monkeypatch.setattr(langid, "script_of", one_by_one)
+    monkeypatch.setattr(langid, "grams_of", one_by_one)
+    monkeypatch.setattr(langid, "letters_of", one_by_one)
+    monkeypatch.setattr(langid, "WORDS_LEARNED", 50, raising=False)
+    scored = langid.WordScores(model)
+    at = scored.look_up(words + words[::-1])
+    assert scored.letters[at[: len(words)]].tolist() == [len(w) for w in letters]
+    assert (scored.rows[at[: len(words)]] == want).all() and (at[len(words) :] == at[: len(words)][::-1]).all()
+
+
 @pytest.fixture(scope="module")
 def languages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

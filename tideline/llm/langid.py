@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ MAX_GRAMS = 200_000
 SWITCH_PENALTY = 12.0
 MEMO_WORDS = 1 << 17
 WORDS_AT_ONCE = 1 << 17
+# New words that are scored together.
+WORDS_LEARNED = 1 << 13
 # Texts whose words are counted together.
 COUNT_ROWS = 1024
 
@@ -42,6 +45,12 @@ SCRIPTS = [
 ]
 _STARTS = [start for start, _ in SCRIPTS]
 _LETTERS = re.compile(r"[^\W\d_]+")
+_NO_LETTERS = re.compile(r"(?:[^\w\n]|[\d_])+")
+_BEGIN, _END = ord("^"), ord("$")
+SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
+_LATIN = SCRIPT_NAMES.index("latin")
+_FIRST_POINTS = np.array(_STARTS, dtype=np.uint32)
+_SCRIPT_AT = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
 
 
 def script_of(letters: str) -> str:
@@ -61,6 +70,34 @@ def grams_of(letters: str) -> list[str]:
     return [padded[i : i + 3] for i in range(len(padded) - 2)]
 
 
+def points_of(words: list[str]) -> np.ndarray:
+    """Code points of the letters (as of ``letters_of``) of words without white space, each word between ``^`` and ``$``."""
+    letters = _NO_LETTERS.sub("", "\n".join(words)).lower()
+    padded = "^" + letters.replace("\n", "$^") + "$"
+    return np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def gram_keys(points: np.ndarray) -> np.ndarray:
+    """One number for each three code points that follow one another; a code point has 21 bits."""
+    wide = points.astype(np.int64)
+    return wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:]
+
+
+def scripts_of(points: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``script_of`` for each word of ``points_of`` and of ``lengths`` letters, as a place in ``SCRIPT_NAMES``."""
+    found = np.full(len(lengths), _LATIN)
+    owner = np.repeat(np.arange(len(lengths)), lengths + 2)
+    other = np.zeros(len(lengths), dtype=bool)
+    other[owner[points >= 128]] = True
+    if other.any():
+        at = np.flatnonzero(other[owner] & (points != _BEGIN) & (points != _END))
+        script = _SCRIPT_AT[np.maximum(0, np.searchsorted(_FIRST_POINTS, points[at], side="right") - 1)]
+        kinds = len(SCRIPT_NAMES)
+        counts = np.bincount(owner[at] * kinds + script, minlength=len(lengths) * kinds).reshape(-1, kinds)
+        found[other] = counts[other].argmax(axis=1)
+    return found
+
+
 @dataclass
 class LanguageModel:
     key: str  # unlike that of any other model
@@ -138,6 +175,12 @@ class WordScores:
 
     def __init__(self, model: LanguageModel, limit: int = MEMO_WORDS):
         self.model, self.limit = model, max(1024, limit * 4 // max(4, len(model.languages)))
+        grams = [g for g in model.grams if len(g) == 3]
+        self.grams = pd.Index(gram_keys(np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))[::3] if grams else np.zeros(0, dtype=np.int64))
+        self.gram_rows = np.array([model.grams[g] for g in grams] + [len(model.grams)])  # the last: of a gram never seen
+        everyone = np.ones(len(model.languages), dtype=bool)
+        users = [model.scripts.get(name, everyone) for name in SCRIPT_NAMES]
+        self.allowed = np.array([u if u.any() else everyone for u in users])
         self._clear()
 
     def _clear(self) -> None:
@@ -155,28 +198,30 @@ class WordScores:
         return np.fromiter(map(self.at.__getitem__, words), dtype=np.int64, count=len(words))
 
     def _learn(self, new: list[str]) -> None:
-        model, n = self.model, len(self.at)
+        n = len(self.at)
         while n + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        rest = len(model.grams)
-        ids, starts, which, allowed = [], [], [], []
-        everyone = np.ones(len(model.languages), dtype=bool)
-        for k, word in enumerate(new, start=n):
-            self.at[word] = k
-            letters = letters_of(word)
-            self.letters[k] = len(letters)
-            if letters:
-                starts.append(len(ids))
-                which.append(k)
-                ids += [model.grams.get(g, rest) for g in grams_of(letters)]
-                users = model.scripts.get(script_of(letters), everyone)
-                allowed.append(users if users.any() else everyone)
-        self.rows[n : n + len(new)] = 0
-        if ids and model.languages:
-            scores = np.add.reduceat(model.scores[np.array(ids)], np.array(starts), axis=0)
+        self.at.update(zip(new, range(n, n + len(new)), strict=True))
+        for at in range(0, len(new), WORDS_LEARNED):
+            part = new[at : at + WORDS_LEARNED]
+            own = slice(n + at, n + at + len(part))
+            self.rows[own], self.letters[own] = self._score(part)
+
+    def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        model, points = self.model, points_of(words)
+        lengths = np.diff(np.flatnonzero(points == _BEGIN), append=len(points)) - 2
+        rows = np.zeros((len(words), len(model.languages)), dtype=np.float32)
+        some = np.flatnonzero(lengths)
+        if len(some) and model.languages:
+            inside = (points[:-2] != _END) & (points[1:-1] != _END)
+            ids = self.gram_rows[self.grams.get_indexer(gram_keys(points)[inside])]
+            starts = (np.cumsum(lengths) - lengths)[some]
+            scores = np.add.reduceat(model.scores[ids], starts, axis=0)
             # Languages without the word's script are out, by more than any trigram could make good.
-            self.rows[which] = np.where(np.array(allowed), scores - scores.max(axis=1, keepdims=True), -200.0)
+            allowed = self.allowed[scripts_of(points, lengths)[some]]
+            rows[some] = np.where(allowed, scores - scores.max(axis=1, keepdims=True), -200.0)
+        return rows, lengths
 
 
 def best_path(scores: np.ndarray, lengths: np.ndarray, penalty: float, chunk: int = 128) -> np.ndarray:
