@@ -7,6 +7,7 @@ from itertools import combinations, product
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tideline.llm import langid, toxicity
 from tideline.llm.registry import QUERIES
 
@@ -78,6 +79,16 @@ def test_spans_of_mixed_and_odd_texts(spark, languages):
     assert langid.label_languages(frame.limit(0), languages).count() == 0
 
 
+def test_a_filter_on_the_language_labels_once(spark, languages, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "table", lambda spark, sf_dir, name: None)
+    monkeypatch.setattr(corpus_pipeline, "training_rows", lambda docs: None)
+    monkeypatch.setattr(corpus_pipeline, "fit_languages", lambda rows: languages)
+    docs = spark.createDataFrame([(1, "the thing and the other thing", None, "s"), (2, "12", "en", "s")], "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in kept.collect()] == [(1, "the thing and the other thing", "en", "s")]
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = langid.fit_languages(langid.training_rows(none))

@@ -354,7 +354,8 @@ def label_languages(docs: DataFrame, model: LanguageModel, text: str = "text", p
         finally:
             release()  # Spark keeps workers that wait, more of them than it runs at a time
 
-    found = docs.withColumn("_found", label(F.col(text)))
+    # Else Spark would label once for a filter on the result and once more for the result.
+    found = docs.withColumn("_found", label.asNondeterministic()(F.col(text)))
     return found.withColumns({c: F.col("_found")[c] for c in ("lang_pred", "score", "lang_spans")}).drop("_found")
 
 
