@@ -128,3 +128,72 @@ def test_signatures_shared_by_all_links():
             least = jaccard.shared_by_band(85)
             counts = np.bincount((shared & np.uint64(jaccard.BAND_BITS - 1)).astype(int), minlength=len(least))
             assert (counts >= least)[counts > 0].any()
+
+
+def test_sketches_rule_out_no_link():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    links = far = ruled_out = 0
+    for k in range(3000):
+        base = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 900)), dtype=np.uint64))
+        share = 0 if k % 3 == 0 else rng.random() * 0.3
+        own = rng.integers(0, 1 << 63, int(rng.integers(1, 900) if k % 3 == 0 else len(base) * share), dtype=np.uint64)
+        other = np.unique(np.concatenate([base[rng.random(len(base)) >= (1 if k % 3 == 0 else share)], own]))
+        if not len(other):
+            continue
+        may = jaccard.may_link(len(base), jaccard.sketch(base), len(other), jaccard.sketch(other), 80)
+        if jaccard.linked(base, other, 80):
+            links += 1
+            assert may
+        elif k % 3 == 0:
+            far += 1
+            ruled_out += not may
+    assert links > 300 and ruled_out > 0.95 * far
+    assert not jaccard.may_link(0, b"", 5, jaccard.sketch(np.arange(5, dtype=np.uint64)), 80)
+
+
+def test_texts_that_share_a_passage_only_do_not_move(spark, monkeypatch):
+    """Pairs go on to the comparison of their texts only if their sizes and sketches leave a link open."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(i, " ".join([f"w{rng.randrange(10**9)}" for _ in range(100)] + passage)) for i in range(60)]
+    rows += [(100 + i, t + " more") for i, t in rows[:3]]
+    seen, old = [], jaccard.compare
+
+    def compare(pairs, *rest):
+        seen.extend((r.a, r.b) for r in pairs.collect())
+        return old(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "compare", compare)
+    got = sorted(tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect())
+    assert got == brute(rows, 5, 80)
+    assert sorted(seen) == [(0, 100), (1, 101), (2, 102)]
+
+
+def test_shuffles_of_a_kept_table_go_at_once(spark):
+    """They would stay until the driver happens to collect its garbage."""
+    import time
+
+    def shuffles():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {n for n in names if "/shuffle_" in n}
+
+    before = shuffles()
+    rows = jaccard.kept(spark, spark.range(1000).repartition(4, "id"), "test")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and rows.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_parts_hold_every_signature_once(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(1, 300)))) for i in range(50)]
+    docs = spark.createDataFrame([*rows, (70, rows[9][1]), (None, rows[8][1]), (None, "only here " * 9), (71, None)], "doc_id long, text string")
+    signed = jaccard.signed_sets(docs, 5, 80)
+    parts = [[tuple(r) for r in jaccard.signature_rows(signed, k).collect()] for k in range(jaccard.PARTS)]
+    want = sorted((i, int(s)) for i, t in rows for s in jaccard.signatures(jaccard.shingle_set(t, 5), 80).astype("<i8"))
+    assert sorted(r for p in parts for r in p) == want
+    assert all(len(p) < len(want) / 3 for p in parts)

@@ -10,6 +10,8 @@ Signatures are sorted by range, so a group of any size is cut into slices of eve
 with its first one only (links of copies are transitive). Where a group then still spans several components, members of
 different components that share S signatures are compared as well. That loses no link between components, and no
 group is ever expanded into all of its pairs.
+
+Pairs are ruled out by sizes and bitmaps of their sets first; only texts of pairs that may be links move.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,14 @@ from pyspark.sql import functions as F
 
 from tideline.llm.registry import query, table
 from tideline.llm.workers import bound_batches, released
-from tideline.session import scratch
+from tideline.session import discard, scratch, shuffles_freed
 
 BAND_RATIO = 1.4
 ROUNDS = 16
 BAND_BITS = 128
 BROADCAST_IDS = 1 << 20
+# Signatures are dealt into so many parts by their own bits, and shuffled one part after the other.
+PARTS = 4
 _U64 = np.uint64
 
 
@@ -59,6 +63,31 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(_mix(total + _U64(width)))
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """A bitmap with a bit for each shingle of a set, at its hash modulo the size: a power of two, two to four bits a shingle."""
+    if not len(items):
+        return b""
+    bits = max(256, 1 << (2 * len(items) - 1).bit_length())
+    filled = np.zeros(bits, dtype=bool)
+    filled[(items & _U64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(filled, bitorder="little").tobytes()
+
+
+def may_link(size_a: int, sketch_a: bytes, size_b: int, sketch_b: bytes, percent: int) -> bool:
+    """False only for sets that are not ``linked``: each bit that one sketch has and the other lacks is a shingle of its own."""
+    bits = 8 * min(len(sketch_a), len(sketch_b))
+    a, b = (_folded(int.from_bytes(s, "little"), 8 * len(s), bits) for s in (sketch_a, sketch_b))
+    common = min(size_a - (a & ~b).bit_count(), size_b - (b & ~a).bit_count())
+    return common > 0 and 100 * common >= percent * (size_a + size_b - common)
+
+
+def _folded(bitmap: int, bits: int, to: int) -> int:
+    while bits > to > 0:
+        bits //= 2
+        bitmap = bitmap >> bits | bitmap & ((1 << bits) - 1)
+    return bitmap
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common > 0 and 100 * common >= percent * (len(a) + len(b) - common)
@@ -144,32 +173,34 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
 
 
-def shingle_sizes(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles and set_key, a digest of the set (null if empty)."""
+def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, set_key, a digest of the set (null if empty), the set's ``sketch``, and ``signs``: its signatures
+    (null without any, or without a doc_id)."""
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_key"])
+            signs = [signatures(s, percent).astype("<u8").tobytes() or None if i is not None else None for i, s in zip(batch.column(0).to_pylist(), sets, strict=True)]
+            columns = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in (keys, list(map(sketch, sets)), signs))]
+            yield pa.record_batch([batch.column(0), *columns], ["doc_id", "n_shingles", "set_key", "sketch", "signs"])
 
-    return _rows(docs).mapInArrow(released(sizes), "doc_id bigint, n_shingles bigint, set_key binary")
+    return _rows(docs).mapInArrow(released(sign), "doc_id bigint, n_shingles bigint, set_key binary, sketch binary, signs binary")
 
 
-def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """node, signature: of every distinct set with a doc_id; its node is the smallest doc_id that has it."""
+def signature_rows(signed: DataFrame, part: int) -> DataFrame:
+    """node, signature: of every distinct set with a doc_id, the signatures of one of the ``PARTS``; its node is the smallest
+    doc_id that has it."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            keys, found, ids = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                items = shingle_set(text, words)
-                signs = signatures(items, percent)
-                if len(signs) and doc_id is not None:
-                    keys.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
-                    found.append(signs.astype("<u8").tobytes())
-                    ids.append(doc_id)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], ["doc_id", "set_key", "signs"])
+            signs = batch.column(2).to_pylist()
+            values = np.frombuffer(b"".join(signs), dtype="<u8")
+            here = values // _U64(BAND_BITS) % _U64(PARTS) == part
+            counts = np.r_[0, np.cumsum(here)][np.cumsum([0, *(len(s) // 8 for s in signs)])]
+            found = pa.Array.from_buffers(pa.binary(), len(signs), [None, pa.py_buffer((counts * 8).astype("<i4")), pa.py_buffer(values[here])])
+            some = pa.array(np.diff(counts) > 0)
+            yield pa.record_batch([batch.column(0), batch.column(1), found], ["doc_id", "set_key", "signs"]).filter(some)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,9 +210,9 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 nodes = np.repeat(batch.column(0).to_numpy()[at : at + 512], [len(a) for a in part])
                 yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.concatenate(part))], ["node", "signature"])
 
-    signed = _rows(docs).mapInArrow(released(sign), "doc_id bigint, set_key binary, signs binary")
+    chosen = signed.filter("signs is not null").select("doc_id", "set_key", "signs").mapInArrow(released(choose), "doc_id bigint, set_key binary, signs binary")
     # Copies of a set meet here, most of them within their task; one row for each set goes on.
-    distinct = signed.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.min("signs").alias("signs"))
+    distinct = chosen.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.min("signs").alias("signs"))
     return distinct.select("node", "signs").mapInArrow(released(spread), "node bigint, signature bigint")
 
 
@@ -225,6 +256,20 @@ def if_small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
+def possible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) of doc_ids that sizes and sketches don't rule out: a few bytes of each set move, its
+    text doesn't. A doc_id that stands for several texts is out if all of them are."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array([may_link(*r, percent) for r in rows], pa.bool_()))
+
+    side_a, side_b = (sizes.select(F.col("doc_id").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("sketch").alias(f"sketch_{n}")) for n in "ab")
+    both = pairs.join(side_b, "b").join(side_a, "a").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    return both.mapInArrow(released(check), "a bigint, b bigint").distinct()
+
+
 def compare(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the distinct pairs (a, b) of doc_ids that are linked, by their whole texts."""
     spark = pairs.sparkSession
@@ -286,9 +331,11 @@ def rarest(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
 
 
 def kept(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts the lineage, and later uses don't compute it anew."""
+    """Written to the shared folder and read again: cuts the lineage, later uses don't compute it anew, and what was shuffled
+    for it is gone."""
     folder = scratch(spark, label)
-    df.write.parquet(folder)
+    with shuffles_freed(spark):
+        df.write.parquet(folder)
     return spark.read.parquet(folder)
 
 
@@ -327,16 +374,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    sizes = kept(spark, shingle_sizes(docs, words), "sizes")
+    folder = scratch(spark, "signed")
+    signed_sets(docs, words, percent).write.parquet(folder)
+    signed = spark.read.parquet(folder)
+    sizes = kept(spark, signed.drop("signs"), "sizes")
     nodes = sizes.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"))
 
-    members = kept(spark, slices(signature_rows(docs, words, percent)), "members")
+    members = reduce(DataFrame.union, [kept(spark, slices(signature_rows(signed, part)), "members") for part in range(PARTS)])
+    discard(spark, folder)
     star = members.filter("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b"))
     # Groups cut by a task's end: their slices' first nodes are compared with the smallest one.
     ends = members.filter("edge").select("signature", F.col("first").alias("b")).distinct()
     ends = ends.join(ends.groupBy("signature").agg(F.min("b").alias("a")), "signature").filter("a <> b").select("a", "b")
     tried = kept(spark, star.union(ends).distinct(), "pairs")
-    links = compare(tried, docs, words, percent)
+    links = compare(kept(spark, possible(tried, sizes, percent), "possible"), docs, words, percent)
     found = kept(spark, components(links), "components")
 
     # Groups that still span components. Similar members share S signatures, all of such groups.
@@ -361,7 +412,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     linkable = f"component_a < component_b and least(common_a, common_b) >= {least} and arrays_overlap({', '.join(heads)})"
     cross = left.join(right, "signature").filter(linkable).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
-    cross = kept(spark, cross, "pairs")
+    cross = kept(spark, possible(cross, sizes, percent), "pairs")
     more = compare(cross, docs, words, percent)
     if more.limit(1).count():
         found = kept(spark, components(links.union(more)), "components")
